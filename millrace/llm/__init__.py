@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["secrets", "pii"]
+MODULES = ["secrets", "pii", "minhash"]
 
 
 def queries() -> dict:
