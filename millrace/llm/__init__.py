@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["secrets", "pii", "embedding_dedup", "minhash"]
+MODULES = ["contamination", "secrets", "pii", "embedding_dedup", "minhash"]
 
 
 def queries() -> dict:
