@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["contamination", "secrets", "pii", "embedding_dedup", "language", "minhash"]
+MODULES = ["contamination", "secrets", "pii", "embedding_dedup", "language", "minhash", "bpe"]
 
 
 def queries() -> dict:
