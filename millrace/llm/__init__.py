@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["contamination", "secrets", "pii", "embedding_dedup", "language", "minhash", "token_store", "bpe", "toxicity"]
+MODULES = ["contamination", "secrets", "pii", "embedding_dedup", "language", "minhash", "token_store", "bpe", "toxicity", "urlfilter"]
 
 
 def queries() -> dict:
