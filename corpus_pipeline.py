@@ -5,25 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, contamination, language, minhash, pii
+from millrace.llm import bpe, contamination, importable, language, minhash, pii
 from millrace.llm._shared import Scratch
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a text in any learnt language: null ones, and those without a letter."""
     model = language.learn(docs.filter(~language.held_out("doc_id")).select("text", "lang"))
-    return language.identify(docs.withColumn("_text", F.col("text")), model, "_text").filter(F.col("lang_pred") != language.UNKNOWN).select(*docs.columns)
+    return language.accepted(docs, model)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group that links of five-word shingles connect."""
     scratch = Scratch(spark, "dedup")
     found = minhash.near_duplicates(docs.select("doc_id", "text"), f=minhash.Forest(shingle=5), scratch=scratch)
-    # repeated rows of one id are one document too
+    # a row that is repeated is one document too
     gone = scratch.cut(found.filter(~F.col("kept")).select(F.col("id").alias("doc_id")).distinct(), "copies")
-    return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(*docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,6 +54,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies the stages to documents, each on the written result of the one before."""
+    importable(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     scratch = Scratch(spark, "pipeline")
     for _, stage in STAGES[:-1]:

@@ -149,17 +149,28 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     table gives an empty one. Columns named like the new ones are replaced.
     """
     keep = [c for c in docs.columns if c not in (text, "lang_pred", "score")]
-    kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep], F.lit(0).alias("_")).alias("row"), F.col(f"`{text}`").alias("text"))
-    schema = kept.select("row").withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
+    out = _predicted(docs, keep, model, text)
+    return out.select(*[F.col("row").getField(c).alias(c) for c in keep], "lang_pred", "score")
+
+
+def accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of docs with a text in one of the learnt languages, as they are."""
+    out = _predicted(docs, docs.columns, model, text).filter(F.col("lang_pred") != UNKNOWN)
+    return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
+def _predicted(docs: DataFrame, keep: list[str], model: Model, text: str) -> DataFrame:
+    """(row, lang_pred, score): the columns to keep, whatever their names, out of the way."""
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep], F.lit(0).alias("_")).alias("row"), F.col(f"`{text}`").alias("text"))
+    schema = packed.select("row").withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch, column in slices(whole):
                 got = [model.predict(v) for v in profiles(column)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([g[0] for g in got]), pa.array([g[1] for g in got], pa.float64())], names=["row", "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], names=["row", "lang_pred", "score"])
 
-    out = kept.mapInArrow(run, schema)
-    return out.select(*[F.col("row").getField(c).alias(c) for c in keep], "lang_pred", "score")
+    return packed.mapInArrow(run, schema)
 
 
 def op5_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame:
