@@ -14,8 +14,12 @@
    is confirmed on full sets, the most similar earlier class of each first, so
    that later pairs within one component need no work.
 4. Regions with more classes than a window sees, of more than one component,
-   are compared whole, in blocks of bounded size, so that no pair is lost to
-   the window.
+   are compared whole, so that no pair is lost to the window: in blocks of
+   bounded size, the classes outside the region's largest component with all.
+   Pairs that shingles or bit maps prove apart go: shingles that RARE classes
+   of such regions or fewer have give the pairs that share one by an equi-join,
+   so any other pair has at most its other shingles in common; and a bit of a
+   set's map that another's lacks is a shingle that the other lacks.
 
 A link is lost only if no tree holds its two classes in one region: at a
 similarity of 0.8 that happens to 3 of 100,000 links.
@@ -43,8 +47,9 @@ class Forest:
     trees: int = 20
     depth: int = 6
     least: int = 4
-    window: int = 8
-    block: int = 64
+    window: int = 6
+    block: int = 256
+    rare: int = 8
 
     @property
     def hashes(self) -> int:
@@ -67,10 +72,10 @@ def shingle_sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
             yield np.unique(shingles[a : b - k + 1])
         elif b > a:
             # the whole sequence as one shingle; its length keeps it apart
-            h = U64(b - a)
-            for w in words[a:b]:
-                h = mix(np.array([h * U64(31) + w], U64))[0]
-            yield np.array([h], U64)
+            h = np.array([b - a], U64)
+            for i in range(a, b):
+                h = mix(h * U64(31) + words[i : i + 1])
+            yield h
         else:
             yield np.zeros(0, U64)
 
@@ -93,11 +98,15 @@ def minima(sets: list[np.ndarray], n: int) -> np.ndarray:
     return out
 
 
-SKETCH = "id long, n_shingles long, set_a long, set_b long, signature binary"
+SKETCH = "id long, n_shingles long, set_a long, set_b long, signature binary, low binary"
 
 
 def sketches(docs: DataFrame, key: str, text: str, f: Forest) -> DataFrame:
-    """SKETCH rows; the set's digest and the signature are null for an empty set."""
+    """SKETCH rows; the set's digest and the signature are null for an empty set.
+
+    `low` has the last byte of each minimum, which is enough to count equal
+    ones: at most one in 256 unequal minima counts as equal.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -105,16 +114,16 @@ def sketches(docs: DataFrame, key: str, text: str, f: Forest) -> DataFrame:
                 sets = list(shingle_sets(column, f.shingle))
                 full = [i for i, s in enumerate(sets) if len(s)]
                 digest = np.zeros((len(sets), 2), np.int64)
-                signature = [None] * len(sets)
+                signature, low = [None] * len(sets), [None] * len(sets)
                 if full:
                     found = minima([sets[i] for i in full], f.hashes).astype(">u4")
                     for row, i in zip(found, full):
                         digest[i] = np.frombuffer(hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest(), np.int64)
-                        signature[i] = row.tobytes()
+                        signature[i], low[i] = row.tobytes(), row.astype(np.uint8).tobytes()
                 empty = np.array([len(s) == 0 for s in sets])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest[:, 0], mask=empty), pa.array(digest[:, 1], mask=empty), pa.array(signature, pa.binary())],
-                    names=["id", "n_shingles", "set_a", "set_b", "signature"],
+                    [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest[:, 0], mask=empty), pa.array(digest[:, 1], mask=empty), pa.array(signature, pa.binary()), pa.array(low, pa.binary())],
+                    names=["id", "n_shingles", "set_a", "set_b", "signature", "low"],
                 )
 
     return docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(run, SKETCH)
@@ -201,10 +210,6 @@ def forest_pairs(scratch: Scratch, classes: DataFrame, f: Forest) -> DataFrame:
 PREFIX = 3
 
 
-def _agreeing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a == b).sum(axis=1)
-
-
 def least_agreeing(f: Forest) -> int:
     """Equal minima that a pair at the threshold has but for five standard deviations."""
     p = f.percent / 100
@@ -213,9 +218,9 @@ def least_agreeing(f: Forest) -> int:
 
 def likely(pairs: DataFrame, classes: DataFrame, f: Forest) -> DataFrame:
     """(u, v, equal): pairs that may be linked, by size and by equal minima."""
-    own = classes.select("id", "n_shingles", "signature")
-    both = pairs.join(own.select(F.col("id").alias("u"), F.col("n_shingles").alias("nu"), F.col("signature").alias("su")), "u").join(
-        own.select(F.col("id").alias("v"), F.col("n_shingles").alias("nv"), F.col("signature").alias("sv")), "v"
+    own = classes.select("id", "n_shingles", "low")
+    both = pairs.join(own.select(F.col("id").alias("u"), F.col("n_shingles").alias("nu"), F.col("low").alias("su")), "u").join(
+        own.select(F.col("id").alias("v"), F.col("n_shingles").alias("nv"), F.col("low").alias("sv")), "v"
     )
     both = both.filter(f"100 * least(nu, nv) >= {f.percent} * greatest(nu, nv)").select("u", "v", "su", "sv")
     least, n = least_agreeing(f), f.hashes
@@ -223,25 +228,37 @@ def likely(pairs: DataFrame, classes: DataFrame, f: Forest) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                su, sv = (np.frombuffer(b"".join(b.column(i).to_pylist()), ">u4").reshape(-1, n) for i in (2, 3))
-                equal = _agreeing(su, sv)
+                su, sv = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint8).reshape(-1, n) for i in (2, 3))
+                equal = (su == sv).sum(axis=1)
                 keep = pa.array(equal >= least)
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(equal.astype(np.int32))], names=["u", "v", "equal"]).filter(keep)
 
     return both.mapInArrow(run, "u long, v long, equal int")
 
 
+BITS = 2048
+
+
+def bit_map(shingles: np.ndarray) -> bytes:
+    """A bit for each shingle, by its hash: a bit of one set that another lacks proves a shingle that the other lacks."""
+    out = np.zeros(BITS, np.uint8)
+    out[(shingles >> U64(40)).astype(np.int64) % BITS] = 1
+    return np.packbits(out).tobytes()
+
+
 def full_sets(docs: DataFrame, key: str, text: str, ids: DataFrame, f: Forest) -> DataFrame:
-    """(id, shingles) of the documents in ids; repeated rows of a document count once."""
+    """(id, shingles, bits) of the documents in ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch, column in slices(whole):
-                sets = [s.tobytes() for s in shingle_sets(column, f.shingle)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["id", "shingles"])
+                sets = list(shingle_sets(column, f.shingle))
+                off = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(off, pa.array(np.concatenate(sets).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array([bit_map(s) for s in sets], pa.binary())], names=["id", "shingles", "bits"])
 
-    own = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).join(ids.select("id").distinct(), "id", "left_semi")
-    return own.mapInArrow(run, "id long, shingles binary")
+    own = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).join(ids.select("id").distinct().hint("merge"), "id", "left_semi")
+    return own.mapInArrow(run, "id long, shingles array<long>, bits binary")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, f: Forest) -> DataFrame:
@@ -251,7 +268,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, f: Forest) -> DataFrame:
         for b in batches:
             ok = []
             for x, y in zip(b.column(2), b.column(3)):
-                p, q = np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64)
+                p, q = x.values.to_numpy(), y.values.to_numpy()
                 same = len(np.intersect1d(p, q, assume_unique=True))
                 ok.append(100 * same >= f.percent * (len(p) + len(q) - same))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ok, pa.bool_())], names=["u", "v", "linked"])
@@ -261,48 +278,82 @@ def confirmed(pairs: DataFrame, sets: DataFrame, f: Forest) -> DataFrame:
     return both.mapInArrow(run, "u long, v long, linked boolean")
 
 
-def crowded_pairs(classes: DataFrame, labels: DataFrame, f: Forest) -> DataFrame:
-    """Likely pairs of different components in regions that a window doesn't see whole."""
+def crowds(classes: DataFrame, f: Forest) -> DataFrame:
+    """(tree, prefix, id): the members of regions that a window doesn't see whole."""
     step, width = 4 * f.depth, 4 * f.least
-    named = classes.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    members = named.select(
-        "id",
-        "component",
-        "n_shingles",
-        F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(f.trees - 1)), lambda t: F.substring("signature", t * step + 1, F.lit(width)))).alias("tree", "prefix"),
-    )
-    regions = (
-        members.groupBy("tree", "prefix")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("a"), F.max("component").alias("b"))
-        .filter((F.col("n") > f.window + 1) & (F.col("a") < F.col("b")))
-        .select("tree", "prefix", F.ceil(F.col("n") / f.block).cast("int").alias("blocks"))
-    )
-    # sizes differ by a factor below 2, so a block holds similar sizes of a region
-    inside = members.join(regions, ["tree", "prefix"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    inside = inside.join(classes.select("id", "signature"), "id")
-    blocks = inside.groupBy("tree", "prefix", "block", "blocks").agg(F.sort_array(F.collect_list(F.struct("id", "component", "n_shingles", "signature"))).alias("rows"))
-    left = blocks.withColumn("other", F.explode(F.sequence("block", F.col("blocks") - 1)))
-    pairs = left.select("tree", "prefix", "other", F.col("rows").alias("a"), F.col("block").alias("at")).join(
-        blocks.select("tree", "prefix", F.col("block").alias("other"), F.col("rows").alias("b")), ["tree", "prefix", "other"]
-    )
+    members = classes.select("id", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(f.trees - 1)), lambda t: F.substring("signature", t * step + 1, F.lit(width)))).alias("tree", "prefix"))
+    large = members.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > f.window + 1).select("tree", "prefix")
+    return members.join(large, ["tree", "prefix"])
+
+
+def rare_shingles(crowd_ids: DataFrame, full: DataFrame, f: Forest) -> DataFrame:
+    """(s, id): the shingles that few classes of the crowds have, with those classes."""
+    each = full.join(crowd_ids, "id", "left_semi").select("id", F.explode("shingles").alias("s"))
+    few = each.groupBy("s").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") <= f.rare)
+    return each.join(few, "s", "left_semi")
+
+
+def rare_pairs(rare: DataFrame, facts: DataFrame, f: Forest) -> DataFrame:
+    """(u, v) of different components that share rare shingles, and may be linked for all that they don't share."""
+    named = rare.join(facts.select("id", "component", "n_shingles", "lone"), "id")
+    a, b = (named.select("s", F.col("id").alias(x), F.col("component").alias(f"c{x}"), F.col("n_shingles").alias(f"n{x}"), (F.col("n_shingles") - F.col("lone")).alias(f"m{x}")) for x in "uv")
+    size = f"100 * least(nu, nv) >= {f.percent} * greatest(nu, nv)"
+    both = a.join(b, "s").filter(f"u < v and cu <> cv and {size}").groupBy("u", "v", "nu", "nv", "mu", "mv").agg(F.count(F.lit(1)).alias("r"))
+    # no more can be common than the shared rare shingles and what else either has
+    most = F.least("mu", "mv") + F.col("r")
+    return both.filter(100 * most >= f.percent * (F.col("nu") + F.col("nv") - most)).select("u", "v")
+
+
+def crowd_facts(rare: DataFrame, classes: DataFrame, full: DataFrame, labels: DataFrame) -> DataFrame:
+    """(id, component, n_shingles, lone, low, bits): lone counts a class's rare shingles."""
+    lone = rare.groupBy("id").agg(F.count(F.lit(1)).alias("lone"))
+    facts = classes.select("id", "n_shingles", "low").join(full.select("id", "bits"), "id").join(lone, "id", "left").join(labels, "id", "left")
+    return facts.select("id", F.coalesce("component", "id").alias("component"), "n_shingles", F.coalesce("lone", F.lit(0)).alias("lone"), "low", "bits").dropDuplicates(["id"])
+
+
+def crowded_pairs(crowd: DataFrame, facts: DataFrame, f: Forest) -> DataFrame:
+    """(u, v): likely pairs of different components within the regions of `crowd` that share no rare shingle."""
+    # with so many rare shingles, a class can't have a link here that shares none
+    able = facts.filter(f"100 * (n_shingles - lone) >= {f.percent} * n_shingles")
+    inside = crowd.join(able.select("id", "component"), "id")
+    largest = inside.groupBy("tree", "prefix", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("tree", "prefix")
+    regions = largest.agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"))
+    regions = regions.filter("parts > 1").select("tree", "prefix", "main", F.ceil(F.col("n") / f.block).cast("int").alias("blocks"))
+    members = inside.select("tree", "prefix", "id").join(regions, ["tree", "prefix"]).join(able, "id")
+    members = members.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    row = F.sort_array(F.collect_list(F.struct("id", "component", "n_shingles", "lone", "low", "bits")))
+    where = ["tree", "prefix", "block", "blocks"]
+    odd = members.filter("component <> main").groupBy(*where).agg(row.alias("a")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    every = members.groupBy(*where).agg(row.alias("b")).select("tree", "prefix", F.col("block").alias("other"), "b")
+    pairs = odd.join(every, ["tree", "prefix", "other"]).select("a", "b")
     least, n = least_agreeing(f), f.hashes
 
+    def side(rows: pa.Array) -> tuple[np.ndarray, ...]:
+        own, c, size, lone = (rows.field(i).to_numpy(zero_copy_only=False) for i in range(4))
+        low, bits = (b"".join(rows.field(i).to_pylist()) for i in (4, 5))
+        return own, c, size, size - lone, np.frombuffer(low, np.uint8).reshape(-1, n), np.frombuffer(bits, U64).reshape(-1, BITS // 64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
-                a, b = batch.column(0)[at].values, batch.column(1)[at].values
-                ia, ca, na, sa = (a.field(i) for i in range(4))
-                ib, cb, nb, sb = (b.field(i) for i in range(4))
-                sa, sb = (np.frombuffer(b"".join(s.to_pylist()), ">u4").reshape(-1, n) for s in (sa, sb))
-                ia, ca, na, ib, cb, nb = (x.to_numpy(zero_copy_only=False) for x in (ia, ca, na, ib, cb, nb))
-                equal = np.stack([(sb == row).sum(axis=1) for row in sa])
-                size = 100 * np.minimum(na[:, None], nb[None]) >= f.percent * np.maximum(na[:, None], nb[None])
-                i, j = np.nonzero((equal >= least) & size & (ca[:, None] != cb[None]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(ia[i], ib[j])), pa.array(np.maximum(ia[i], ib[j])), pa.array(equal[i, j].astype(np.int32))], names=["u", "v", "equal"]
-                )
-
-    return pairs.select("a", "b").mapInArrow(run, "u long, v long, equal int").distinct()
+                ia, ca, na, ma, sa, xa = side(batch.column(0)[at].values)
+                ib, cb, nb, mb, sb, xb = side(batch.column(1)[at].values)
+                # a pair that shares a rare shingle is found by that
+                most = np.minimum(ma[:, None], mb[None])
+                i, j = np.nonzero((100 * most >= f.percent * (na[:, None] + nb[None] - most)) & (ca[:, None] != cb[None]))
+                kept = []
+                for k in range(0, len(i), 8192):
+                    p, q = i[k : k + 8192], j[k : k + 8192]
+                    x, y = xa[p], xb[q]
+                    most = np.minimum(na[p] - np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64), nb[q] - np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64))
+                    ok = 100 * most >= f.percent * (na[p] + nb[q] - most)
+                    ok[ok] = (sa[p[ok]] == sb[q[ok]]).sum(axis=1) >= least
+                    kept.append(ok)
+                keep = np.concatenate(kept) if kept else np.zeros(0, bool)
+                i, j = i[keep], j[keep]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ia[i], ib[j])), pa.array(np.maximum(ia[i], ib[j]))], names=["u", "v"])
+
+    return pairs.mapInArrow(run, "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", f: Forest = Forest(), scratch: Scratch | None = None) -> DataFrame:
@@ -318,12 +369,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", f:
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark, "minhash")
     own = scratch.cut(sketches(docs, key, text, f), "sketches")
-    sets = own.filter("set_a is not null").groupBy("set_a", "set_b").agg(F.min("id").alias("class"))
+    # written, so that the join below has a side that can be split where a set is very common
+    sets = scratch.cut(own.filter("set_a is not null").groupBy("set_a", "set_b").agg(F.min("id").alias("class")), "classes")
     member = scratch.cut(own.select("id", "n_shingles", "set_a", "set_b").join(sets, ["set_a", "set_b"], "left").select("id", "n_shingles", "class"), "members")
-    reps = member.filter("id = class").select("id").distinct()
-    classes = scratch.cut(own.filter("set_a is not null").join(reps, "id", "left_semi").select("id", "n_shingles", "signature").dropDuplicates(["id"]), "classes")
+    reps = sets.select(F.col("class").alias("id")).distinct()
+    classes = own.filter("set_a is not null").join(reps, "id", "left_semi").select("id", "n_shingles", "signature", "low").dropDuplicates(["id"])
+    classes = scratch.cut(classes, "classes")
+    scratch.drop(own, sets)
+    crowd = scratch.cut(crowds(classes, f), "crowd")
+    crowd_ids = scratch.cut(crowd.select("id").distinct(), "crowd")
     todo = scratch.cut(likely(forest_pairs(scratch, classes, f), classes, f), "likely")
-    ends = todo.select(F.col("u").alias("id")).union(todo.select("v"))
+    ends = todo.select(F.col("u").alias("id")).union(todo.select("v")).union(crowd_ids)
     full = scratch.cut(full_sets(docs, key, text, ends, f), "sets")
     # the most similar earlier class of each class: enough to join most groups
     best = todo.groupBy("v").agg(F.max(F.struct("equal", (-F.col("u")).alias("u"))).alias("m")).select((-F.col("m.u")).alias("u"), "v")
@@ -335,11 +391,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", f:
     links = links.union(more.filter("linked").select("u", "v"))
     labels = scratch.cut(components(scratch, links), "labels")
     tested = tested.union(more)
-    crowd = scratch.cut(_across(crowded_pairs(classes, labels, f), labels).join(tested, ["u", "v"], "left_anti"), "crowd")
-    if crowd.limit(1).count():
-        ends = crowd.select(F.col("u").alias("id")).union(crowd.select("v"))
-        late = scratch.cut(confirmed(crowd, full_sets(docs, key, text, ends, f), f), "tested")
-        labels = scratch.cut(components(scratch, links.union(late.filter("linked").select("u", "v"))), "labels")
+    rare = scratch.cut(rare_shingles(crowd_ids, full, f), "rare")
+    facts = scratch.cut(crowd_facts(rare, classes.join(crowd_ids, "id", "left_semi"), full, labels), "facts")
+    late = crowded_pairs(crowd, facts, f).union(likely(rare_pairs(rare, facts, f), classes, f).select("u", "v"))
+    late = scratch.cut(late.distinct().join(tested, ["u", "v"], "left_anti"), "late")
+    late = scratch.cut(confirmed(late, full, f), "tested")
+    labels = scratch.cut(components(scratch, links.union(late.filter("linked").select("u", "v"))), "labels")
+    scratch.drop(classes, full, todo, crowd)
     found = member.join(labels.select(F.col("id").alias("class"), "component"), "class", "left")
     component = F.coalesce("component", "class", "id")
     return found.select("id", "n_shingles", component.alias("component_id"), (F.col("id") == component).alias("kept"))

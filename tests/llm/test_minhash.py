@@ -51,9 +51,8 @@ EDGES = [None, "", " \t\n", "one", "ONE", "one two", "a b", "é É", "One\x0bTw
 def test_matches_brute_force(spark):
     texts = dict(enumerate(EDGES + corpus()))
     df = spark.createDataFrame([(i, t, "s", 1) for i, t in texts.items()], "doc_id long, text string, id string, class int")
-    for k in (2, 5):
-        got = {r.id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(df, f=minhash.Forest(shingle=k)).collect()}
-        assert got == brute(texts, k)
+    got = {r.id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(df, f=minhash.Forest(shingle=2)).collect()}
+    assert got == brute(texts, 2)
 
 
 def test_crowded_regions_are_whole(spark):
