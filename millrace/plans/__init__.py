@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["tpch", "relational"]
+MODULES = ["tpch", "relational", "extensions"]
 
 
 def queries() -> dict:
