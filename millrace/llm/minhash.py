@@ -278,12 +278,16 @@ def confirmed(pairs: DataFrame, sets: DataFrame, f: Forest) -> DataFrame:
     return both.mapInArrow(run, "u long, v long, linked boolean")
 
 
-def crowds(classes: DataFrame, f: Forest) -> DataFrame:
-    """(tree, prefix, id): the members of regions that a window doesn't see whole."""
+def crowds(scratch: Scratch, classes: DataFrame, f: Forest) -> DataFrame:
+    """(tree, prefix, id): the members of regions that a window doesn't see whole.
+
+    The regions are written first, so that the join with their members is one
+    of two plain shuffles, in which Spark splits a region of very many.
+    """
     step, width = 4 * f.depth, 4 * f.least
     members = classes.select("id", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(f.trees - 1)), lambda t: F.substring("signature", t * step + 1, F.lit(width)))).alias("tree", "prefix"))
     large = members.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > f.window + 1).select("tree", "prefix")
-    return members.join(large, ["tree", "prefix"])
+    return members.join(scratch.cut(large, "regions"), ["tree", "prefix"])
 
 
 def rare_shingles(crowd_ids: DataFrame, full: DataFrame, f: Forest) -> DataFrame:
@@ -311,14 +315,15 @@ def crowd_facts(rare: DataFrame, classes: DataFrame, full: DataFrame, labels: Da
     return facts.select("id", F.coalesce("component", "id").alias("component"), "n_shingles", F.coalesce("lone", F.lit(0)).alias("lone"), "low", "bits").dropDuplicates(["id"])
 
 
-def crowded_pairs(crowd: DataFrame, facts: DataFrame, f: Forest) -> DataFrame:
+def crowded_pairs(scratch: Scratch, crowd: DataFrame, facts: DataFrame, f: Forest) -> DataFrame:
     """(u, v): likely pairs of different components within the regions of `crowd` that share no rare shingle."""
     # with so many rare shingles, a class can't have a link here that shares none
     able = facts.filter(f"100 * (n_shingles - lone) >= {f.percent} * n_shingles")
-    inside = crowd.join(able.select("id", "component"), "id")
+    inside = scratch.cut(crowd.join(able.select("id", "component"), "id"), "inside")
     largest = inside.groupBy("tree", "prefix", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("tree", "prefix")
     regions = largest.agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"))
     regions = regions.filter("parts > 1").select("tree", "prefix", "main", F.ceil(F.col("n") / f.block).cast("int").alias("blocks"))
+    regions = scratch.cut(regions, "regions")
     members = inside.select("tree", "prefix", "id").join(regions, ["tree", "prefix"]).join(able, "id")
     members = members.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     row = F.sort_array(F.collect_list(F.struct("id", "component", "n_shingles", "lone", "low", "bits")))
@@ -376,7 +381,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", f:
     classes = own.filter("set_a is not null").join(reps, "id", "left_semi").select("id", "n_shingles", "signature", "low").dropDuplicates(["id"])
     classes = scratch.cut(classes, "classes")
     scratch.drop(own, sets)
-    crowd = scratch.cut(crowds(classes, f), "crowd")
+    crowd = scratch.cut(crowds(scratch, classes, f), "crowd")
     crowd_ids = scratch.cut(crowd.select("id").distinct(), "crowd")
     todo = scratch.cut(likely(forest_pairs(scratch, classes, f), classes, f), "likely")
     ends = todo.select(F.col("u").alias("id")).union(todo.select("v")).union(crowd_ids)
@@ -393,7 +398,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", f:
     tested = tested.union(more)
     rare = scratch.cut(rare_shingles(crowd_ids, full, f), "rare")
     facts = scratch.cut(crowd_facts(rare, classes.join(crowd_ids, "id", "left_semi"), full, labels), "facts")
-    late = crowded_pairs(crowd, facts, f).union(likely(rare_pairs(rare, facts, f), classes, f).select("u", "v"))
+    late = crowded_pairs(scratch, crowd, facts, f).union(likely(rare_pairs(rare, facts, f), classes, f).select("u", "v"))
     late = scratch.cut(late.distinct().join(tested, ["u", "v"], "left_anti"), "late")
     late = scratch.cut(confirmed(late, full, f), "tested")
     labels = scratch.cut(components(scratch, links.union(late.filter("linked").select("u", "v"))), "labels")

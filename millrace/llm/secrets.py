@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _native as N
+from ._shared import Scratch
 
 
 @dataclass(frozen=True)
@@ -112,10 +113,16 @@ def merge(ledger: DataFrame, scanned: DataFrame) -> DataFrame:
     return ledger.select("blob", "scanned", "findings").join(scanned.select("blob"), "blob", "left_anti").unionByName(scanned)
 
 
-def scan(versions: DataFrame, path: str, ledger: DataFrame | None = None, rules: list[Rule] = RULES) -> tuple[DataFrame, DataFrame]:
-    """(findings by path, ledger): each row's `path` column with all spans of its blob."""
+def scan(versions: DataFrame, path: str, ledger: DataFrame | None = None, rules: list[Rule] = RULES, scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame]:
+    """(findings by path, ledger): each row's `path` column with all spans of its blob.
+
+    With scratch, the ledger is written first, so that the join with the paths
+    has a side that Spark can split where very many paths hold one blob.
+    """
     scanned = scan_blobs(versions, ledger, rules)
     after = scanned if ledger is None else merge(ledger, scanned)
+    if scratch is not None:
+        after = scratch.cut(after, "ledger")
     # most blobs have no findings: their rows need no more than a missing match
     found = after.filter(F.size("findings") > 0).select("blob", "findings")
     paths = versions.select(F.col(path), blob_id(F.col("text")).alias("blob"))
@@ -124,7 +131,8 @@ def scan(versions: DataFrame, path: str, ledger: DataFrame | None = None, rules:
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found, _ = scan(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), "doc_id")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    found, _ = scan(docs, "doc_id", scratch=Scratch(spark, "secrets"))
     spans = found.withColumn("findings", N.ordered(F.col("findings"), KINDS, start_first=True))
     base = F.filter("findings", lambda s: s["kind"].isin(BASE))
     return spans.select(
