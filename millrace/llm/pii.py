@@ -159,24 +159,28 @@ def patterns(found: DataFrame) -> DataFrame:
     return found.filter(F.size("candidates") > 0).select(F.explode("candidates").alias("c")).groupBy("c.kind", "c.x").agg(F.count(F.lit(1)).alias("n"))
 
 
-def expectation_maximisation(votes: np.ndarray, n: np.ndarray, rounds: int = 50) -> np.ndarray:
+def expectation_maximisation(votes: np.ndarray, n: np.ndarray, rounds: int = 200, tie: float = 0.1) -> np.ndarray:
     """Probability that a pattern of votes (-1, 0, 1) is personal data.
 
     Votes are independent given the truth; each labeler has a distribution of
     votes for either truth, estimated from all patterns, with add-one counts.
+    Where fewer than three labelers know something, such distributions fit the
+    counts equally well in many ways; `tie` settles it: either distribution
+    also counts, by that weight, what the other one has with signs reversed,
+    as if a labeler erred alike on both sides.
     """
-    score = votes.sum(axis=1)
-    p = 1 / (1 + np.exp(-score.astype(float)))
+    p = 1 / (1 + np.exp(-votes.sum(axis=1).astype(float)))
+    cast = [[votes[:, j] == v for v in (-1, 0, 1)] for j in range(votes.shape[1])]
     for _ in range(rounds):
         prior = np.clip((p * n).sum() / n.sum(), 0.02, 0.98)
         log = np.log(prior) - np.log(1 - prior) + np.zeros(len(n))
-        for j in range(votes.shape[1]):
-            for v in (-1, 0, 1):
-                at = votes[:, j] == v
-                # A labeler counts as better than chance until counts say otherwise.
-                yes = ((p * n)[at].sum() + 1 + (v == 1)) / ((p * n).sum() + 4)
-                no = (((1 - p) * n)[at].sum() + 1 + (v == -1)) / (((1 - p) * n).sum() + 4)
-                log[at] += np.log(yes) - np.log(no)
+        for own in cast:
+            # a labeler counts as better than chance until counts say otherwise
+            yes = np.array([(p * n)[at].sum() for at in own]) + [1, 1, 2]
+            no = np.array([((1 - p) * n)[at].sum() for at in own]) + [2, 1, 1]
+            yes, no = yes + tie * no[::-1], no + tie * yes[::-1]
+            for at, q in zip(own, np.log(yes / yes.sum()) - np.log(no / no.sum()), strict=True):
+                log[at] += q
         p = 1 / (1 + np.exp(-np.clip(log, -30, 30)))
     return p
 
