@@ -78,8 +78,8 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     Alternates large-star and small-star steps, which shrink any graph to
     stars around the smallest id in about log² rounds; every round is two
     grouped minima and two joins, and only two numbers reach the driver.
-    The minima are written before they are joined: a hub's edges are then a
-    skewed side of a join of two plain shuffles, which Spark splits.
+    The first minima are written before they are joined: a hub's edges are then
+    a skewed side of a join of two plain shuffles, which Spark splits.
     """
     e = (
         edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
@@ -95,13 +95,13 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
             break
         before = (n, mark)
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        first = scratch.cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "minima")
-        large = both.filter("v > u").join(first, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = scratch.cut(large.filter("u <> v").distinct(), "edges")
-        second = scratch.cut(large.groupBy("u").agg(F.min("v").alias("m")), "minima")
+        low = scratch.cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "minima")
+        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        # few edges are left at any node's upper side here, so that this join isn't skewed
+        second = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(second, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(second)
         old, e = e, scratch.cut(small.filter("u <> v").distinct(), "edges")
-        scratch.drop(old, first, large, second)
+        scratch.drop(old, low)
     stars = e.groupBy("u").agg(F.min("v").alias("component"))
     centres = e.select(F.col("v").alias("u")).distinct()
     return stars.union(centres.select("u", "u")).groupBy(F.col("u").alias("id")).agg(

@@ -393,21 +393,26 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", f:
     labels = scratch.cut(components(scratch, links), "labels")
     rest = _across(todo.join(tested, ["u", "v"], "left_anti"), labels)
     more = scratch.cut(confirmed(rest, full, f), "tested")
-    links = links.union(more.filter("linked").select("u", "v"))
-    labels = scratch.cut(components(scratch, links), "labels")
+    labels = scratch.cut(_joined(scratch, labels, more), "labels")
     tested = tested.union(more)
     rare = scratch.cut(rare_shingles(crowd_ids, full, f), "rare")
     facts = scratch.cut(crowd_facts(rare, classes.join(crowd_ids, "id", "left_semi"), full, labels), "facts")
     late = crowded_pairs(scratch, crowd, facts, f).union(likely(rare_pairs(rare, facts, f), classes, f).select("u", "v"))
     late = scratch.cut(late.distinct().join(tested, ["u", "v"], "left_anti"), "late")
     late = scratch.cut(confirmed(late, full, f), "tested")
-    labels = scratch.cut(components(scratch, links.union(late.filter("linked").select("u", "v"))), "labels")
+    labels = scratch.cut(_joined(scratch, labels, late), "labels")
     scratch.drop(classes, full, todo, crowd)
     found = member.join(labels.select(F.col("id").alias("class"), "component"), "class", "left")
     component = F.coalesce("component", "class", "id")
     return found.select("id", "n_shingles", component.alias("component_id"), (F.col("id") == component).alias("kept"))
 
 
+def _joined(scratch: Scratch, labels: DataFrame, tested: DataFrame) -> DataFrame:
+    """The components with more links: those found so far are stars, so few rounds are needed."""
+    stars = labels.filter("id <> component").select(F.col("id").alias("u"), F.col("component").alias("v"))
+    return components(scratch, stars.union(tested.filter("linked").select("u", "v")))
+
+
 def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs whose ends are not yet of one component."""
     a, b = (labels.select(F.col("id").alias(x), F.col("component").alias(f"c{x}")) for x in "uv")
