@@ -97,7 +97,8 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = scratch.cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "minima")
         large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        # few edges are left at any node's upper side here, so that this join isn't skewed
+        # a node with very many smaller neighbours is a skewed key here, which isn't split, in one
+        # round: after it, these neighbours are joined to the smallest of them
         second = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(second, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(second)
         old, e = e, scratch.cut(small.filter("u <> v").distinct(), "edges")
