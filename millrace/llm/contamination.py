@@ -2,11 +2,12 @@
 
 Items and documents become words (letters and digits, A-Z in lower case) and
 shingles of SHINGLE words. An item of n shingles is looked for in all windows
-of about n shingles of each document, every STEP shingles (2 * STEP for long ones):
+of about n shingles of each document, every STEP shingles (more for long ones):
 
 1. The SimHash of a window has a bit for each of 64 hash bits, set where most
    of the window's shingles, counted as often as they occur, have it. Windows
-   share running sums, so one costs a few dozen byte operations.
+   share running sums, so one costs a few dozen byte operations; below LONG
+   shingles the sums are bytes, from there on they are of 32 bits.
 2. The 64 bits are four blocks of 16. A fingerprint within RADIUS bits of an
    item's is within RADIUS // 4 bits of it in at least one block, so a table of
    2^16 sets of items for each block finds all items within the radius.
@@ -21,7 +22,7 @@ one pass over the documents each.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,9 @@ BLOCKS = 4
 STEP = 2
 #: Windows of this size or more start at every second block.
 WIDE = 24
+#: Windows of this size or more, whose counts a byte can't hold, are of blocks of LONG_STEP.
+LONG = 256
+LONG_STEP = 8
 #: Window sizes grow by this factor; an item has the nearest one.
 RATIO = 1.15
 ITEMS_A_PART = 2000
@@ -60,31 +64,42 @@ def shingled(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def ladder(largest: int) -> np.ndarray:
-    """Even window sizes up to the largest item."""
+    """Window sizes up to the largest item, of whole blocks each."""
     sizes = [STEP]
     while sizes[-1] < largest:
-        sizes.append(max(sizes[-1] + STEP, STEP * round(sizes[-1] * RATIO / STEP)))
+        step = block_of(int(sizes[-1] * RATIO))
+        sizes.append(max(sizes[-1] // step * step + step, step * round(sizes[-1] * RATIO / step)))
     return np.array(sizes)
 
 
-def block_sums(shingles: np.ndarray) -> np.ndarray:
-    """Running sums, modulo 256, of each hash bit over blocks of STEP shingles."""
-    n = len(shingles) // STEP
-    bits = np.unpackbits(shingles[: n * STEP].view(np.uint8)).reshape(n, STEP, 64)
+def block_of(size: int) -> int:
+    """Shingles a block, for windows of this size."""
+    return STEP if size < LONG else LONG_STEP
+
+
+def stride_of(size: int) -> int:
+    """Shingles from one window of this size to the next: about 1/32 of long ones."""
+    return (STEP if size < WIDE else 2 * STEP) if size < LONG else size // LONG * LONG_STEP
+
+
+def block_sums(shingles: np.ndarray, block: int = STEP) -> np.ndarray:
+    """Running sums of each hash bit over blocks of shingles, modulo 256 but for the blocks of long windows."""
+    n = len(shingles) // block
+    bits = np.unpackbits(shingles[: n * block].view(np.uint8)).reshape(n, block, 64)
     one = bits[:, 0]
-    for j in range(1, STEP):
+    for j in range(1, block):
         one = one + bits[:, j]
-    out = np.zeros((n + 1, 64), np.uint8)
-    np.cumsum(one, axis=0, dtype=np.uint8, out=out[1:])
+    out = np.zeros((n + 1, 64), np.uint32 if block == LONG_STEP else np.uint8)
+    np.cumsum(one, axis=0, dtype=out.dtype, out=out[1:])
     return out
 
 
 def fingerprints(sums: np.ndarray, size: int) -> np.ndarray:
-    """SimHash of the window of `size` shingles from each block on; needs size < 256."""
-    w = size // STEP
+    """SimHash of the windows of `size` shingles, one each stride; sums are of the blocks of this size."""
+    w, every = size // block_of(size), stride_of(size) // block_of(size)
     if len(sums) <= w:
         return np.zeros(0, U64)
-    count = sums[w:] - sums[:-w]
+    count = sums[w:][::every] - sums[:-w][::every]
     return np.packbits(count > size // 2, axis=1).view(U64).ravel()
 
 
@@ -166,11 +181,10 @@ def candidates_in(items: Items, tables: dict, shingles: np.ndarray, off: np.ndar
     if not len(shingles):
         return
     # texts shorter than a window run into the next ones: the start's text decides
-    sums = block_sums(np.concatenate([shingles, np.zeros(-len(shingles) % STEP, U64)]))
+    sums = {b: block_sums(np.concatenate([shingles, np.zeros(-len(shingles) % b, U64)]), b) for b in {block_of(size) for size in tables}}
     marks = np.concatenate([[0], np.cumsum(items.known[(shingles >> U64(44)).astype(np.int64)], dtype=np.int64)])
     for size, groups in tables.items():
-        step = 2 if size >= WIDE else 1
-        found = np.ascontiguousarray(fingerprints(sums, size)[::step])
+        found = fingerprints(sums[block_of(size)], size)
         parts = found.view(np.uint16).reshape(-1, BLOCKS)
         for own, table in groups:
             mask = table[0][parts[:, 0]]
@@ -180,7 +194,7 @@ def candidates_in(items: Items, tables: dict, shingles: np.ndarray, off: np.ndar
             mask = mask[some]
             for bit, item in enumerate(own):
                 at = some[(mask >> U64(bit)) & U64(1) == 1]
-                at = at[np.bitwise_count(found[at] ^ items.prints[item]) <= items.radius] * (STEP * step)
+                at = at[np.bitwise_count(found[at] ^ items.prints[item]) <= items.radius] * stride_of(size)
                 if not len(at):
                     continue
                 # the marked shingles around bound the similarity from above
@@ -194,8 +208,8 @@ def candidates_in(items: Items, tables: dict, shingles: np.ndarray, off: np.ndar
 FOUND = "id long, item_id long, similarity double, start int, n_shingles int"
 
 
-def matches(docs: DataFrame, key: str, text: str, items: Items, similarity: float) -> DataFrame:
-    """FOUND rows: the best place of each item that a document holds; start counts shingles."""
+def search(items: Items, similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The function of matches(), from batches of (id, text) to FOUND rows."""
     held: dict[str, dict] = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,7 +243,12 @@ def matches(docs: DataFrame, key: str, text: str, items: Items, similarity: floa
                     names=["id", "item_id", "similarity", "start", "n_shingles"],
                 )
 
-    return docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(run, FOUND)
+    return run
+
+
+def matches(docs: DataFrame, key: str, text: str, items: Items, similarity: float) -> DataFrame:
+    """FOUND rows: the best place of each item that a document holds; start counts shingles."""
+    return docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(search(items, similarity), FOUND)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:

@@ -79,3 +79,33 @@ def test_decontaminate_and_empty_tables(spark):
     assert {r.doc_id for r in contamination.decontaminate(d, b, Scratch(spark, "t")).collect()} == {0, 200}
     assert contamination.contaminated(d.limit(0), b).count() == 0
     assert contamination.contaminated(d, b.limit(0)).count() == 0
+
+
+def random_texts(seed):
+    rng = random.Random(seed)
+    return rng, lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+
+
+def searched(items, docs):
+    """{(doc, item)} that the search of one slice finds, without Spark."""
+    own = contamination.Items(list(items), [" ".join(t) for t in items.values()], 5, contamination.RADIUS)
+    frame = contamination.pa.table({"id": list(docs), "text": [" ".join(t) for t in docs.values()]}).to_batches()
+    run = contamination.search(own, contamination.SIMILARITY)
+    return {(i, j) for b in run(iter(frame)) for i, j in zip(b.column(0).to_pylist(), b.column(1).to_pylist())}
+
+
+def test_long_items_verbatim_and_edited():
+    rng, text = random_texts(11)
+    items = {100 * n + i: text(n) for n in (250, 300, 500, 600, 2000) for i in range(6)}
+    # repeated words, whose counts pass 255
+    items |= {7: text(1) * 600, 8: text(3) * 300}
+    docs = {}
+    for k, own in items.items():
+        docs[2 * k] = text(rng.randint(0, 99)) + own + text(rng.randint(0, 99) + 2500)
+        edited = list(own)
+        for at in range(40, len(own), 100):  # five shingles in a hundred
+            edited[at] = "changed"
+        docs[2 * k + 1] = text(rng.randint(0, 99)) + edited + text(rng.randint(0, 99) + 2500)
+    got = searched(items, docs)
+    assert {(2 * k, k) for k in items} <= got
+    assert {(2 * k + 1, k) for k in items if k > 8} <= got
