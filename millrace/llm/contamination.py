@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import LOWER, U64, Scratch, flat, shingle_hashes, slices, strings, word_hashes, word_runs
+from ._shared import BASE, LOWER, U64, Scratch, flat, mix, shingle_hashes, slices, strings, word_hashes, word_runs
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -176,15 +176,26 @@ def best_window(doc: np.ndarray, item: np.ndarray, at: int, slack: int, least: f
     return best
 
 
-def candidates_in(items: Items, tables: dict, shingles: np.ndarray, off: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """(text, item, start) of windows whose fingerprint is within the radius of an item's."""
-    if not len(shingles):
-        return
-    # texts shorter than a window run into the next ones: the start's text decides
-    sums = {b: block_sums(np.concatenate([shingles, np.zeros(-len(shingles) % b, U64)]), b) for b in {block_of(size) for size in tables}}
+def candidates_in(items: Items, tables: dict, shingles: np.ndarray, off: np.ndarray, similarity: float = SIMILARITY) -> Iterator[tuple[int, int, int]]:
+    """(text, item, start) of windows whose fingerprint is within the radius of an item's.
+
+    Windows run over the ends of texts, and past the last one into padding; one
+    is a candidate for each text that it overlaps and that is long enough for
+    the similarity, so its start may lie before the text's.
+    """
+    lengths = np.diff(off)
+    longest = int(lengths.max(initial=0))
+    least = {item: similarity * len(items.shingles[item]) - 1e-9 for groups in tables.values() for own, _ in groups for item in own}
+    tables = {size: groups for size, groups in tables.items() if longest and any(least[item] <= longest for own, _ in groups for item in own)}
+    sums = {}
+    for block in {block_of(size) for size in tables}:
+        # padding as noise: equal bits would outvote those of a text shorter than the window
+        more = max(size for size in tables if block_of(size) == block)
+        pad = mix(np.arange(1, more + -(len(shingles) + more) % block + 1, dtype=U64) * U64(BASE))
+        sums[block] = block_sums(np.concatenate([shingles, pad]), block)
     marks = np.concatenate([[0], np.cumsum(items.known[(shingles >> U64(44)).astype(np.int64)], dtype=np.int64)])
     for size, groups in tables.items():
-        found = fingerprints(sums[block_of(size)], size)
+        found = fingerprints(sums[block_of(size)], size)[: -(-len(shingles) // stride_of(size))]
         parts = found.view(np.uint16).reshape(-1, BLOCKS)
         for own, table in groups:
             mask = table[0][parts[:, 0]]
@@ -201,8 +212,12 @@ def candidates_in(items: Items, tables: dict, shingles: np.ndarray, off: np.ndar
                 n, slack = len(items.shingles[item]), size
                 low, high = np.maximum(at - slack, 0), np.minimum(at + n + slack, len(shingles))
                 at = at[marks[high] - marks[low] >= 0.5 * n]
-                for x in at.tolist():
-                    yield int(np.searchsorted(off, x, side="right")) - 1, int(item), x
+                fit = np.flatnonzero(lengths >= least[item])
+                first = np.searchsorted(off[fit + 1], at, side="right").tolist()
+                last = np.searchsorted(off[fit], at + size, side="left").tolist()
+                for x, a, b in zip(at.tolist(), first, last):
+                    for i in fit[a:b].tolist():
+                        yield i, int(item), x
 
 
 FOUND = "id long, item_id long, similarity double, start int, n_shingles int"
@@ -220,7 +235,7 @@ def search(items: Items, similarity: float) -> Callable[[Iterator[pa.RecordBatch
                 shingles, off = shingled(column, items.shingle)
                 best: dict[tuple[int, int], tuple[float, int]] = {}
                 done: set[tuple[int, int, int]] = set()
-                for i, item, at in candidates_in(items, tables, shingles, off):
+                for i, item, at in candidates_in(items, tables, shingles, off, similarity):
                     doc, own = shingles[off[i] : off[i + 1]], items.shingles[item]
                     slack = len(own)
                     # windows half an item apart see the same places

@@ -109,3 +109,14 @@ def test_long_items_verbatim_and_edited():
     got = searched(items, docs)
     assert {(2 * k, k) for k in items} <= got
     assert {(2 * k + 1, k) for k in items if k > 8} <= got
+
+
+def test_items_of_every_length_as_only_and_as_last_text():
+    rng, text = random_texts(12)
+    items = {n: text(n + 4) for n in range(1, 61)}
+    # of every length from 1 to 60 shingles; a text of the item alone, in a table of one row
+    assert {n for n in items if (0, n) in searched({n: items[n]}, {0: items[n]})} == set(items)
+    # last, after a text that ends at an even or odd shingle; and between short texts
+    for before in (9, 10, 11, 12):
+        assert {n for n in items if (1, n) in searched({n: items[n]}, {0: text(before), 1: items[n]})} == set(items)
+        assert {n for n in items if (1, n) in searched({n: items[n]}, {0: text(before), 1: items[n], 2: text(5), 3: text(5)})} == set(items)
