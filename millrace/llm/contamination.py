@@ -2,7 +2,8 @@
 
 Items and documents become words (letters and digits, A-Z in lower case) and
 shingles of SHINGLE words. An item of n shingles is looked for in all windows
-of about n shingles of each document, every STEP shingles (more for long ones):
+of about n shingles of each document, every STEP shingles (more for long ones;
+an item of fewer than SHORT in all windows of exactly n, so a copy has its bits):
 
 1. The SimHash of a window has a bit for each of 64 hash bits, set where most
    of the window's shingles, counted as often as they occur, have it. Windows
@@ -36,6 +37,8 @@ SIMILARITY = 0.8
 RADIUS = 19
 BLOCKS = 4
 STEP = 2
+#: Windows below this size have every length, and start at every shingle.
+SHORT = 16
 #: Windows of this size or more start at every second block.
 WIDE = 24
 #: Windows of this size or more, whose counts a byte can't hold, are of blocks of LONG_STEP.
@@ -65,7 +68,7 @@ def shingled(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 def ladder(largest: int) -> np.ndarray:
     """Window sizes up to the largest item, of whole blocks each."""
-    sizes = [STEP]
+    sizes = list(range(1, SHORT + 1))
     while sizes[-1] < largest:
         step = block_of(int(sizes[-1] * RATIO))
         sizes.append(max(sizes[-1] // step * step + step, step * round(sizes[-1] * RATIO / step)))
@@ -74,12 +77,14 @@ def ladder(largest: int) -> np.ndarray:
 
 def block_of(size: int) -> int:
     """Shingles a block, for windows of this size."""
-    return STEP if size < LONG else LONG_STEP
+    return 1 if size < SHORT else STEP if size < LONG else LONG_STEP
 
 
 def stride_of(size: int) -> int:
     """Shingles from one window of this size to the next: about 1/32 of long ones."""
-    return (STEP if size < WIDE else 2 * STEP) if size < LONG else size // LONG * LONG_STEP
+    if size < LONG:
+        return 1 if size < SHORT else STEP if size < WIDE else 2 * STEP
+    return size // LONG * LONG_STEP
 
 
 def block_sums(shingles: np.ndarray, block: int = STEP) -> np.ndarray:

@@ -120,3 +120,10 @@ def test_items_of_every_length_as_only_and_as_last_text():
     for before in (9, 10, 11, 12):
         assert {n for n in items if (1, n) in searched({n: items[n]}, {0: text(before), 1: items[n]})} == set(items)
         assert {n for n in items if (1, n) in searched({n: items[n]}, {0: text(before), 1: items[n], 2: text(5), 3: text(5)})} == set(items)
+
+
+def test_short_items_verbatim_at_every_place():
+    rng, text = random_texts(13)
+    items = {100 * n + i: text(n + 4) for n in range(1, 20) for i in range(40)}
+    docs = {k: text(rng.randint(0, 60)) + own + text(rng.randint(0, 60)) for k, own in items.items()}
+    assert {(k, k) for k in items} <= searched(items, docs)
