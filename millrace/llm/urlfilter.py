@@ -68,16 +68,19 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]] = RULE
 
 
 def _entropy(text: Column) -> Column:
-    """Shannon entropy of the characters, in bits."""
-    each = F.split(text, "")
+    """Shannon entropy of the characters, in bits: sorted, equal ones are runs, counted in one go."""
     n = F.length(text)
-    counts = F.transform(F.array_distinct(each), lambda c: F.size(F.filter(each, lambda x: x == c)) / n)
-    return F.when(n > 0, -F.aggregate(counts, F.lit(0.0), lambda s, p: s + p * F.log2(p))).otherwise(0.0)
+    empty = F.struct(F.lit("").alias("c"), F.lit(0).alias("run"), F.lit(0.0).alias("sum"))
+    sum_of = lambda s: s["sum"] + s["run"] * F.log2(F.greatest(s["run"], F.lit(1)))
+
+    def add(s: Column, x: Column) -> Column:
+        same = s["c"] == x
+        return F.struct(x.alias("c"), F.when(same, s["run"] + 1).otherwise(1).alias("run"), F.when(same, s["sum"]).otherwise(sum_of(s)).alias("sum"))
+
+    return F.when(n > 0, F.log2(n) - F.aggregate(F.sort_array(F.split(text, "")), empty, add, sum_of) / n).otherwise(0.0)
 
 
 FEATURES = ["length", "host_length", "host_depth", "path_depth", "digits", "host_digits", "entropy", "host_entropy", "parameters", "fragment", "hyphens", "secure", "suffix1", "suffix2", "suffix3"]
-#: Entropy is of this many characters at most, as it takes their square.
-ENTROPY = 256
 
 
 def features(df: DataFrame) -> DataFrame:
@@ -96,8 +99,8 @@ def features(df: DataFrame) -> DataFrame:
             "path_depth": F.size(first).cast("double"),
             "digits": digits(url),
             "host_digits": digits(h),
-            "entropy": _entropy(F.substring(url, 1, ENTROPY)),
-            "host_entropy": _entropy(F.substring(h, 1, ENTROPY)),
+            "entropy": _entropy(url),
+            "host_entropy": _entropy(h),
             "parameters": F.when(query == "", 0.0).otherwise(F.size(F.split(query, "&")).cast("double")),
             "fragment": F.when(url.contains("#"), 1.0).otherwise(0.0),
             "hyphens": F.length(F.regexp_replace(url, "[^-]", "")).cast("double"),

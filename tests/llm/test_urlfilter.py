@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 
 from millrace.llm import urlfilter
 from millrace.llm._shared import Scratch
@@ -47,6 +49,18 @@ def test_entropy(spark):
     assert [round(r[0], 6) for r in df.select(urlfilter._entropy(urlfilter.F.col("t"))).collect()] == [1.0, 0.0, 2.0]
 
 
+def test_entropy_is_of_the_whole_url(spark):
+    same = "http://" + "a" * 150 + ".com/" + "b" * 150
+    own = [same, same + "?q=0123456789", same + "é漢😀" * 500, "http://" + "x" * 300 + "0123456789.net/", "http://a.net/" + "9" * 50_000]
+    df = urlfilter.judged(spark.createDataFrame([(u,) for u in own], "url string"))
+
+    def entropy(text):
+        return -sum(c / len(text) * math.log2(c / len(text)) for c in Counter(text).values())
+
+    got = {r.url: (round(r.entropy, 9), round(r.host_entropy, 9)) for r in urlfilter.features(df).collect()}
+    assert got == {u: (round(entropy(u), 9), round(entropy(brute(u)[0]), 9)) for u in own}
+
+
 def test_one_verdict_or_none(spark):
     df = spark.createDataFrame([(1, "http://a.com/"), (2, "ftp://b.org")], "page_id long, url string")
     assert {r.page_id: r.verdict for r in urlfilter.judge(df, urlfilter.train(df, Scratch(spark, "t")), "page_id").collect()} == {1: "allow", 2: "allow"}
