@@ -10,9 +10,10 @@ from millrace.llm._shared import Scratch
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a text in any learnt language: null ones, and those without a letter."""
-    model = language.learn(docs.filter(~language.held_out("doc_id")).select("text", "lang"))
-    return language.accepted(docs, model)
+    """Rejects documents without a text in any learnt language: null ones, those without a letter, and those like none."""
+    held = language.held_out("doc_id")
+    model = language.learn(docs.filter(~held).select("text", "lang"))
+    return language.accepted(docs, model, least=language.least_score(docs.filter(held).select("text", "lang"), model))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,6 +27,9 @@ DIMENSIONS = 512
 #: Symbols: a blank, a-z, other letters by their code point modulo the rest.
 SYMBOLS = 64
 UNKNOWN = "und"
+#: Texts of so many letters are rejected below MARGIN times the least cosine of held-out ones.
+LETTERS = 100
+MARGIN = 0.75
 
 
 def letters() -> tuple[np.ndarray, np.ndarray]:
@@ -69,13 +72,19 @@ def code_points(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def profiles(column: pa.Array) -> Iterator[np.ndarray | None]:
     """The bundled, unit-length vector of each text; None for a text without a letter."""
+    return (v for v, _ in counted_profiles(column))
+
+
+def counted_profiles(column: pa.Array) -> Iterator[tuple[np.ndarray | None, int]]:
+    """(profile, letters) of each text."""
     symbol, letter, vectors = _tables()
     points, off = code_points(*flat(column))
     points = np.minimum(points, 0x10FFFF)
     s, is_letter = symbol[points].astype(np.int32), letter[points]
     for a, b in zip(off[:-1], off[1:]):
-        if not is_letter[a:b].any():
-            yield None
+        letters_in = int(is_letter[a:b].sum())
+        if not letters_in:
+            yield None, 0
             continue
         own = np.concatenate([[0], s[a:b], [0]])
         code = own[:-2] * (SYMBOLS * SYMBOLS) + own[1:-1] * SYMBOLS + own[2:]
@@ -90,7 +99,7 @@ def profiles(column: pa.Array) -> Iterator[np.ndarray | None]:
         code, n = code[at], n[at]
         bound = vectors[0][code // (SYMBOLS * SYMBOLS)] * vectors[1][code // SYMBOLS % SYMBOLS] * vectors[2][code % SYMBOLS]
         total = n.astype(np.float32) @ bound.astype(np.float32)
-        yield total / max(float(np.sqrt(total @ total)), 1e-12)
+        yield total / max(float(np.sqrt(total @ total)), 1e-12), letters_in
 
 
 @dataclass
@@ -153,22 +162,35 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     return out.select(*[F.col("row").getField(c).alias(c) for c in keep], "lang_pred", "score")
 
 
-def accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows of docs with a text in one of the learnt languages, as they are."""
-    out = _predicted(docs, docs.columns, model, text).filter(F.col("lang_pred") != UNKNOWN)
+def least_score(held: DataFrame, model: Model, text: str = "text", lang: str = "lang") -> float:
+    """The score that a text of LETTERS or more needs, measured on documents of known language that taught nothing.
+
+    It lies below that of all of these whose language is found; 0 if there are none.
+    """
+    out = _predicted(held, [lang], model, text).filter((F.col("letters") >= LETTERS) & (F.col("row").getField(lang) == F.col("lang_pred")))
+    least = out.agg(F.min("score")).first()[0]
+    return 0.0 if least is None else (1 + MARGIN * max(0.0, 2 * least - 1)) / 2
+
+
+def accepted(docs: DataFrame, model: Model, text: str = "text", least: float = 0.0) -> DataFrame:
+    """The rows of docs with a text in one of the learnt languages, as they are.
+
+    Texts of LETTERS or more need a score of `least`; shorter ones tell too little to be rejected.
+    """
+    out = _predicted(docs, docs.columns, model, text).filter((F.col("lang_pred") != UNKNOWN) & ((F.col("letters") < LETTERS) | (F.col("score") >= least)))
     return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def _predicted(docs: DataFrame, keep: list[str], model: Model, text: str) -> DataFrame:
-    """(row, lang_pred, score): the columns to keep, whatever their names, out of the way."""
+    """(row, lang_pred, score, letters): the columns to keep, whatever their names, out of the way."""
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep], F.lit(0).alias("_")).alias("row"), F.col(f"`{text}`").alias("text"))
-    schema = packed.select("row").withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
+    schema = packed.select("row").withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0), "letters": F.lit(0)}).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch, column in slices(whole):
-                got = [model.predict(v) for v in profiles(column)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], names=["row", "lang_pred", "score"])
+                got = [(*model.predict(v), n) for v, n in counted_profiles(column)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()), pa.array([g[2] for g in got], pa.int32())], names=["row", "lang_pred", "score", "letters"])
 
     return packed.mapInArrow(run, schema)
 

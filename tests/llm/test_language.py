@@ -49,3 +49,16 @@ def test_query_learns_from_no_held_out_row(spark, tmp_path):
     df.withColumn("lang", language.F.when(held, "wrong").otherwise(df.lang)).write.parquet(str(tmp_path / "documents.parquet"))
     out = language.op5_hyperdimensional_language(spark, str(tmp_path)).collect()
     assert len(out) == len(rows) and {r.lang_pred for r in out} == {"aa", "bb", "cc"} and {r.held_out for r in out} == {True, False}
+
+
+def test_texts_in_no_learnt_language_are_rejected(spark):
+    rows = corpus()
+    random.Random(1).shuffle(rows)
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string")
+    model = language.learn(df.filter("doc_id < 120"))
+    least = language.least_score(df.filter("doc_id >= 120"), model)
+    odd = ["Все люди рождаются свободными и равными в своем достоинстве и правах " * 3, "qzkx vwpj xqjz kvvq pzzx jqwk " * 8, "qz", None]
+    other = spark.createDataFrame([(1000 + i, t, "aa") for i, t in enumerate(odd)], df.schema)
+    # short texts tell too little, and all clean ones stay
+    assert {r.doc_id for r in language.accepted(df.union(other), model, least=least).collect()} == {*range(180), 1002}
+    assert language.least_score(df.limit(0), model) == 0
