@@ -12,7 +12,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,18 +22,36 @@ from pyspark.sql import functions as F
 U64 = np.uint64
 #: Odd base of the polynomial word hash; fixed, so hashes agree between runs.
 BASE = 0x9E3779B97F4A7C15
-SLICE_BYTES = 4 << 20
+#: A worker holds some fifty bytes for each byte of a slice.
+SLICE_BYTES = 1 << 20
+#: Most bytes of an Arrow batch, of which the JVM and the worker hold one each.
+BATCH_BYTES = 4 << 20
 
 _own_dir: dict[str, str] = {}
 
 
+def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """mapInArrow in batches of bounded size; lowers the session's bound on them if it is larger."""
+    conf = df.sparkSession.conf
+    now = conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and tasks share one machine; local-cluster is a cluster."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; one of our own only where none is named."""
+    """The cluster's shared folder; a temporary one only in a local session that names none."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    if not is_local(spark):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_dir:
         _own_dir[app] = "file://" + tempfile.mkdtemp(prefix="millrace-")
@@ -151,7 +169,7 @@ _powers: list[np.ndarray] = []
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE^i and BASE^-i modulo 2^64 for i < n, kept by the worker up to 16 MB of text."""
+    """BASE^i and BASE^-i modulo 2^64 for i < n, kept by the worker up to 4 MB of text."""
     if not _powers or len(_powers[0]) < n:
         size = max(n, SLICE_BYTES + (1 << 16))
         made = []
@@ -159,7 +177,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
             x = np.full(size, base, dtype=U64)
             x[0] = 1
             made.append(np.multiply.accumulate(x))
-        if size > 16 << 20:
+        if size > 4 << 20:
             return made[0], made[1]
         _powers[:] = made
     return _powers[0], _powers[1]
@@ -192,7 +210,10 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         return np.zeros(0, U64)
     up, down = powers(len(data) + 1)
     total = np.zeros(len(data) + 1, U64)
-    np.cumsum((data.astype(U64) + U64(1)) * up[: len(data)], out=total[1:])
+    total[1:] = data
+    total[1:] += U64(1)
+    total[1:] *= up[: len(data)]
+    np.cumsum(total[1:], out=total[1:])
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93))
 
 

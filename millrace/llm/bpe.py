@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ._shared import slices
+from ._shared import mapped, slices
 
 #: Words of up to this many symbols are kept with their ids, up to so many words.
 KEPT_SYMBOLS, KEPT_WORDS = 48, 700_000
@@ -287,7 +287,7 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, with_id
                     columns.append(pa.ListArray.from_arrays(off, pa.array(np.frombuffer(b"".join(ids), "<i4"))))
                 yield pa.RecordBatch.from_arrays(columns, names=["row", *new])
 
-    out = packed.mapInArrow(run, schema)
+    out = mapped(packed, run, schema)
     return out.select(*[F.col("row").getField(c).alias(c) for c in keep], *new)
 
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import BASE, LOWER, U64, Scratch, flat, mix, shingle_hashes, slices, strings, word_hashes, word_runs
+from ._shared import BASE, LOWER, U64, Scratch, flat, mapped, mix, shingle_hashes, slices, strings, word_hashes, word_runs
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -268,7 +268,7 @@ def search(items: Items, similarity: float) -> Callable[[Iterator[pa.RecordBatch
 
 def matches(docs: DataFrame, key: str, text: str, items: Items, similarity: float) -> DataFrame:
     """FOUND rows: the best place of each item that a document holds; start counts shingles."""
-    return docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(search(items, similarity), FOUND)
+    return mapped(docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")), search(items, similarity), FOUND)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import flat, slices
+from ._shared import flat, mapped, slices
 
 DIMENSIONS = 512
 #: Symbols: a blank, a-z, other letters by their code point modulo the rest.
@@ -132,7 +132,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
             yield pa.RecordBatch.from_arrays([pa.array([name] * n), pa.array(np.arange(n, dtype=np.int32)), pa.array(v.astype(np.float64))], names=["lang", "i", "s"])
 
     own = docs.filter(F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
-    rows = own.mapInArrow(run, "lang string, i int, s double").groupBy("lang", "i").agg(F.sum("s").alias("s")).collect()
+    rows = mapped(own, run, "lang string, i int, s double").groupBy("lang", "i").agg(F.sum("s").alias("s")).collect()
     found: dict[str, np.ndarray] = {}
     for r in rows:
         found.setdefault(r["lang"], np.zeros(DIMENSIONS + 1))[r["i"]] = r["s"]
@@ -192,7 +192,7 @@ def _predicted(docs: DataFrame, keep: list[str], model: Model, text: str) -> Dat
                 got = [(*model.predict(v), n) for v, n in counted_profiles(column)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()), pa.array([g[2] for g in got], pa.int32())], names=["row", "lang_pred", "score", "letters"])
 
-    return packed.mapInArrow(run, schema)
+    return mapped(packed, run, schema)
 
 
 def op5_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._shared import LOWER, U64, Scratch, components, flat, mix, shingle_hashes, slices, word_hashes, word_runs
+from ._shared import LOWER, U64, Scratch, components, flat, mapped, mix, shingle_hashes, slices, word_hashes, word_runs
 
 
 @dataclass(frozen=True)
@@ -126,7 +126,7 @@ def sketches(docs: DataFrame, key: str, text: str, f: Forest) -> DataFrame:
                     names=["id", "n_shingles", "set_a", "set_b", "signature", "low"],
                 )
 
-    return docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(run, SKETCH)
+    return mapped(docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")), run, SKETCH)
 
 
 def _neighbours(keys: list[bytes], ids: np.ndarray, width: int, f: Forest) -> tuple[np.ndarray, np.ndarray]:
@@ -188,7 +188,7 @@ def forest_pairs(scratch: Scratch, classes: DataFrame, f: Forest) -> DataFrame:
         yield out(2, tail_keys, tail_ids, tail_ids, np.arange(len(tail_ids)) - len(tail_ids))
 
     n = max(8, int(scratch.spark.conf.get("spark.sql.shuffle.partitions")))
-    near = scratch.cut(trees.repartitionByRange(n, "tree_key", "id").sortWithinPartitions("tree_key", "id").mapInArrow(run, NEAR), "near")
+    near = scratch.cut(mapped(trees.repartitionByRange(n, "tree_key", "id").sortWithinPartitions("tree_key", "id"), run, NEAR), "near")
     ends = near.filter("edge <> 1")
     # the last rows of a partition with the first ones of the next partition
     # that has rows; `parts` has as many rows as there are partitions
@@ -233,7 +233,7 @@ def likely(pairs: DataFrame, classes: DataFrame, f: Forest) -> DataFrame:
                 keep = pa.array(equal >= least)
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(equal.astype(np.int32))], names=["u", "v", "equal"]).filter(keep)
 
-    return both.mapInArrow(run, "u long, v long, equal int")
+    return mapped(both, run, "u long, v long, equal int")
 
 
 BITS = 2048
@@ -258,7 +258,7 @@ def full_sets(docs: DataFrame, key: str, text: str, ids: DataFrame, f: Forest) -
                 yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array([bit_map(s) for s in sets], pa.binary())], names=["id", "shingles", "bits"])
 
     own = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).join(ids.select("id").distinct().hint("merge"), "id", "left_semi")
-    return own.mapInArrow(run, "id long, shingles array<long>, bits binary")
+    return mapped(own, run, "id long, shingles array<long>, bits binary")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, f: Forest) -> DataFrame:
@@ -275,7 +275,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, f: Forest) -> DataFrame:
 
     both = pairs.select("u", "v").join(sets.select(F.col("id").alias("u"), F.col("shingles").alias("x")), "u")
     both = both.join(sets.select(F.col("id").alias("v"), F.col("shingles").alias("y")), "v").select("u", "v", "x", "y")
-    return both.mapInArrow(run, "u long, v long, linked boolean")
+    return mapped(both, run, "u long, v long, linked boolean")
 
 
 def crowds(scratch: Scratch, classes: DataFrame, f: Forest) -> DataFrame:
@@ -358,7 +358,7 @@ def crowded_pairs(scratch: Scratch, crowd: DataFrame, facts: DataFrame, f: Fores
                 i, j = i[keep], j[keep]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ia[i], ib[j])), pa.array(np.maximum(ia[i], ib[j]))], names=["u", "v"])
 
-    return pairs.mapInArrow(run, "u long, v long").distinct()
+    return mapped(pairs, run, "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", f: Forest = Forest(), scratch: Scratch | None = None) -> DataFrame:
@@ -367,18 +367,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", f:
     Words are runs of other characters than space and \\x09-\\x0D, with A-Z in
     lower case; a text with fewer words than a shingle is one shingle, and one
     without words, or a null one, has an empty set and is linked with nothing.
-    Ids must be integers; rows of one id are taken as one document, whose class
-    has the smallest digest. An empty table gives an empty result; other columns
-    are not read.
+    Ids must be integers; rows of one id are taken as one document, whose
+    text is the one with the smallest SHA-256; a null id is kept and linked with
+    nothing. Ties of ids can't be, so the smallest id of a group is one document. Long texts are taken whole. An
+    empty table gives an empty result; other columns are not read.
     """
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark, "minhash")
-    own = scratch.cut(sketches(docs, key, text, f), "sketches")
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    docs, key, text = one_text_an_id(rows), "id", "text"
+    own = sketches(docs, key, text, f).withColumn("set_a", F.when(F.col("id").isNotNull(), F.col("set_a")))
+    own = scratch.cut(own, "sketches")
     # written, so that the join below has a side that can be split where a set is very common
     sets = scratch.cut(own.filter("set_a is not null").groupBy("set_a", "set_b").agg(F.min("id").alias("class")), "classes")
     member = scratch.cut(own.select("id", "n_shingles", "set_a", "set_b").join(sets, ["set_a", "set_b"], "left").select("id", "n_shingles", "class"), "members")
     reps = sets.select(F.col("class").alias("id")).distinct()
-    classes = own.filter("set_a is not null").join(reps, "id", "left_semi").select("id", "n_shingles", "signature", "low").dropDuplicates(["id"])
+    classes = own.filter("set_a is not null").join(reps, "id", "left_semi").select("id", "n_shingles", "signature", "low")
     classes = scratch.cut(classes, "classes")
     scratch.drop(own, sets)
     crowd = scratch.cut(crowds(scratch, classes, f), "crowd")
@@ -404,7 +408,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", f:
     scratch.drop(classes, full, todo, crowd)
     found = member.join(labels.select(F.col("id").alias("class"), "component"), "class", "left")
     component = F.coalesce("component", "class", "id")
-    return found.select("id", "n_shingles", component.alias("component_id"), (F.col("id") == component).alias("kept"))
+    found = found.select("id", "n_shingles", component.alias("component_id"), (F.col("id").eqNullSafe(component)).alias("kept"))
+    if docs is rows:
+        return found
+    return rows.select("id").join(found, "id").unionByName(found.filter("id is null"))
+
+
+def one_text_an_id(rows: DataFrame) -> DataFrame:
+    """rows (id, text), where each id has one row: of several, that with the smallest SHA-256 of its text.
+
+    Ids alone are counted first, so that no text moves where all differ. Rows without an id stay.
+    """
+    known = rows.filter("id is not null")
+    if known.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+        return rows
+    order = F.struct(F.sha2(F.coalesce("text", F.lit("")), 256), F.col("text").isNull())
+    return known.groupBy("id").agg(F.min_by("text", order).alias("text")).union(rows.filter("id is null"))
 
 
 def _joined(scratch: Scratch, labels: DataFrame, tested: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._shared import Scratch, flat, slices
+from ._shared import Scratch, flat, mapped, slices
 
 MAGIC = b"MRT1"
 RANKED = 512
@@ -261,7 +261,7 @@ def write(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", t
 
     own = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     ordered = own.repartitionByRange(F.asc_nulls_first("id"), F.xxhash64("text")).sortWithinPartitions(F.asc_nulls_first("id"), F.xxhash64("text"))
-    ordered.mapInArrow(run, SEGMENTS).write.option("compression", "zstd").parquet(path)
+    mapped(ordered, run, SEGMENTS).write.option("compression", "zstd").parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -296,7 +296,7 @@ def documents(segments: DataFrame, with_ids: bool = False) -> DataFrame:
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return segments.select("base", "block").mapInArrow(run, schema)
+    return mapped(segments.select("base", "block"), run, schema)
 
 
 def op7_elias_fano_store(spark: SparkSession, sf_dir: str) -> DataFrame:

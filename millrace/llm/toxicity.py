@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import Scratch, flat, slices, word_runs
+from ._shared import Scratch, flat, mapped, slices, word_runs
 from .language import SYMBOLS, _tables, code_points
 from .minhash import SPACE
 
@@ -204,7 +204,7 @@ def _word_counts(rows: DataFrame) -> DataFrame:
                 p = np.bincount(word, y, minlength=len(distinct)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([distinct.cast(pa.binary()), pa.array(p), pa.array((n - p).astype(np.int64))], names=["word", "pos", "neg"])
 
-    return rows.mapInArrow(run, "word binary, pos long, neg long").groupBy("word").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    return mapped(rows, run, "word binary, pos long, neg long").groupBy("word").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
 
 def _covering(has: np.ndarray, clean: np.ndarray, most: int) -> list[int]:
@@ -273,7 +273,7 @@ def train(labelled: DataFrame, scratch: Scratch, text: str = "text", label: str
                 found = [np.unique(at[x:y][at[x:y] >= 0]).astype(np.int32) for x, y in zip(first[:-1], first[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32()))], names=["w"])
 
-    toxic = rows.filter("label = 1").mapInArrow(which, "w array<int>").collect()
+    toxic = mapped(rows.filter("label = 1"), which, "w array<int>").collect()
     has = np.zeros((len(toxic), len(vocabulary)), bool)
     for i, r in enumerate(toxic):
         has[i, r["w"]] = True
@@ -287,7 +287,7 @@ def train(labelled: DataFrame, scratch: Scratch, text: str = "text", label: str
             for batch, column in slices(whole):
                 yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([r.tobytes() for r in held.texts(column)], pa.binary())], names=["label", "x"])
 
-    got = rows.mapInArrow(run, "label int, x binary").collect()  # of the sample
+    got = mapped(rows, run, "label int, x binary").collect()  # of the sample
     x = np.stack([np.frombuffer(r["x"], np.float32) for r in got]).astype(np.float64)
     y = np.array([r["label"] for r in got], float)
     own = held.matrix.T @ held.matrix
@@ -327,7 +327,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 x = held.texts(column) if held else np.zeros((len(column), 0))
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.scores(x))], names=["row", "score"])
 
-    out = packed.mapInArrow(run, schema)
+    out = mapped(packed, run, schema)
     return out.select(*[F.col("row").getField(c).alias(c) for c in keep], "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
