@@ -6,6 +6,8 @@ Spark returns what matches but not where. The text between the matches is what
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,21 +18,48 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
 
-def offsets(text: Column, pattern: str, found: Column) -> Column:
-    """Start of each match in `found`, the list that matches() gave."""
-    gaps = F.split(text, pattern, -1)
-    empty = F.array().cast("array<int>")
-    state = F.struct(F.lit(0).alias("at"), empty.alias("starts"))
+#: Values that are summed up one by one; arrays of more are summed in parts.
+PART = 256
+
+
+def _sums(values: Column) -> Column:
+    """Running sums; each step copies those before it."""
+    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("sums"))
 
     def step(s: Column, x: Column) -> Column:
-        start = (s["at"] + F.length(x["gap"])).cast("int")
-        return F.struct(
-            (start + F.length(x["hit"])).cast("int").alias("at"),
-            F.concat(s["starts"], F.array(start)).alias("starts"),
-        )
-
-    pairs = F.zip_with(F.slice(gaps, 1, F.greatest(F.size(found), F.lit(1))), found, lambda g, h: F.struct(g.alias("gap"), F.coalesce(h, F.lit("")).alias("hit")))
-    return F.when(F.size(found) > 0, F.aggregate(pairs, state, step, lambda s: s["starts"])).otherwise(empty)
+        at = (s["at"] + x).cast("int")
+        return F.struct(at.alias("at"), F.concat(s["sums"], F.array(at)).alias("sums"))
+
+    return F.aggregate(values, state, step, lambda s: s["sums"])
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), where value is evaluated, and stands in the plan, once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def running(values: Column) -> Column:
+    """Running sums of an array of int, in parts, so that long ones don't take the square of their length."""
+
+    def moved(inside: Column) -> Column:
+        until = F.concat(F.array(F.lit(0)), _sums(F.transform(inside, lambda p: F.element_at(p, -1))))
+        return F.flatten(F.zip_with(inside, F.slice(until, 1, F.size(inside)), lambda p, base: F.transform(p, lambda x: x + base)))
+
+    def parts(v: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / PART).cast("int")), lambda i: _sums(F.slice(v, i * PART + 1, PART)))
+
+    return F.when(F.size(values) > 0, _let(values, lambda v: _let(parts(v), moved))).otherwise(F.array().cast("array<int>"))
+
+
+def gaps(text: Column, pattern: str, found: Column) -> Column:
+    """The text before each match in `found`, back to the match before it."""
+    return F.slice(F.split(text, pattern, -1), 1, F.size(found))
+
+
+def offsets(before: Column, found: Column) -> Column:
+    """Start of each match in `found`, the list that matches() gave; `before` are its gaps()."""
+    ends = running(F.zip_with(before, found, lambda g, h: F.length(g) + F.length(h)))
+    return F.zip_with(ends, found, lambda e, h: (e - F.length(h)).cast("int"))
 
 
 def digest(spans: Column) -> Column:

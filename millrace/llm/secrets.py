@@ -2,15 +2,18 @@
 
 Every historical version of a file is addressed by the SHA-256 of its content.
 The ledger holds, for each blob, the rule versions that have scanned it and
-what they found. A scan takes one text of each blob, leaves out the pairs of
-blob and rule version that the ledger has, runs the rest, and joins the
-findings back to all paths that hold the blob. Everything is a Spark function.
-
-Defined cases: a null text is an empty one; repeated rows and copies share one
-scan and each get its findings; a text without secrets has empty findings; an
-empty table gives an empty result and an empty ledger; other columns are left
-alone, whatever their names, for only `path` and `text` are read. Spans count
-code points, end exclusive.
+what they found. A scan takes the blob ids of all versions, leaves out those
+that the ledger knows under all rules, takes one text of each blob that is left,
+runs the rule versions that it hasn't seen, and joins the findings back to all
+paths that hold the blob. Texts of known blobs never move. Everything is a
+Spark function.
+
+Defined cases: a null text is an empty one; texts of any length are scanned
+whole; repeated rows and copies share one scan and each get its findings; spans
+of several kinds may start at one place, and are in the order of the rules
+then; a text without secrets has empty findings; an empty table gives an empty
+result and an empty ledger; other columns are left alone, whatever their names,
+for only `path` and `text` are read. Spans count code points, end exclusive.
 """
 
 from __future__ import annotations
@@ -40,16 +43,19 @@ class Rule:
 
 
 #: A run of hex digits or of an access key is maximal, so {24,} and {16,} match
-#: just those maximal runs that are long enough.
+#: just those maximal runs that are long enough. No rule repeats a group without
+#: a small bound: Java's matcher would recurse once for each repeat.
 RULES = [
     Rule("assign", 1, r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     Rule("access", 1, r"AKIA[A-Z0-9]{16,}"),
     Rule("hex", 1, r"[0-9a-f]{24,}"),
-    Rule("pem", 1, r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----"),
+    Rule("pem", 2, r"-----BEGIN (?:[A-Z0-9 ]{1,60} )?PRIVATE KEY-----"),
     Rule("hub", 1, r"\bgh[pousr]_[A-Za-z0-9]{36,}"),
 ]
 KINDS = [r.kind for r in RULES]
 BASE = KINDS[:3]
+#: So many blob ids, of 64 bytes, are sent to all tasks at most.
+FEW_BLOBS = 50_000
 LEDGER = f"blob string, scanned array<string>, findings {N.SPAN}"
 
 
@@ -64,7 +70,7 @@ def _run(df: DataFrame, rule: Rule) -> DataFrame:
         df = df.withColumn(value, F.when(some, N.matches(F.col("text"), rule.pattern, rule.group)).otherwise(none))
     else:
         df = df.withColumn(value, F.col(hit))
-    starts = F.when(some, N.offsets(F.col("text"), rule.pattern, F.col(hit))).otherwise(F.array().cast("array<int>"))
+    starts = F.when(some, N.offsets(N.gaps(F.col("text"), rule.pattern, F.col(hit)), F.col(hit))).otherwise(F.array().cast("array<int>"))
     spans = F.zip_with(
         starts,
         F.arrays_zip(F.col(hit).alias("h"), F.col(value).alias("v")),
@@ -90,12 +96,11 @@ def scan_blobs(versions: DataFrame, ledger: DataFrame | None = None, rules: list
     that ran before are kept, those of a replaced version are not.
     """
     names = [r.name for r in rules]
-    # a partial aggregate, so that a task sends one text of each blob it has
-    blobs = versions.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("blob", blob_id(F.col("text"))).groupBy("blob").agg(F.first("text").alias("text"))
+    texts = versions.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("blob", blob_id(F.col("text")))
     if ledger is None:
-        blobs = blobs.withColumns({"scanned": F.array().cast("array<string>"), "findings": F.array().cast(N.SPAN)})
+        blobs = _one_text(texts).withColumns({"scanned": F.array().cast("array<string>"), "findings": F.array().cast(N.SPAN)})
     else:
-        blobs = blobs.join(ledger.select("blob", "scanned", "findings"), "blob", "left").withColumns(
+        blobs = _due(texts, ledger, names).join(ledger.select("blob", "scanned", "findings"), "blob", "left").withColumns(
             {"scanned": F.coalesce("scanned", F.array().cast("array<string>")), "findings": F.coalesce("findings", F.array().cast(N.SPAN))}
         )
     all_names = F.array(*map(F.lit, names))
@@ -108,6 +113,21 @@ def scan_blobs(versions: DataFrame, ledger: DataFrame | None = None, rules: list
     return blobs.select("blob", all_names.alias("scanned"), found.alias("findings"))
 
 
+def _one_text(texts: DataFrame) -> DataFrame:
+    """A partial aggregate first, so that a task sends one text of each blob it has."""
+    return texts.groupBy("blob").agg(F.first("text").alias("text"))
+
+
+def _due(texts: DataFrame, ledger: DataFrame, names: list[str]) -> DataFrame:
+    """(blob, text) of the blobs that the ledger doesn't know under all of the rules."""
+    known = ledger.filter(F.size(F.array_except(F.array(*map(F.lit, names)), "scanned")) == 0).select("blob")
+    due = texts.select("blob").distinct().join(known, "blob", "left_anti")
+    if due.count() <= FEW_BLOBS:
+        return _one_text(texts.join(F.broadcast(due), "blob", "left_semi"))
+    # many: all texts move, but the copies that a task holds don't
+    return _one_text(texts).join(due, "blob", "left_semi")
+
+
 def merge(ledger: DataFrame, scanned: DataFrame) -> DataFrame:
     """The ledger after a scan."""
     return ledger.select("blob", "scanned", "findings").join(scanned.select("blob"), "blob", "left_anti").unionByName(scanned)
@@ -125,14 +145,21 @@ def scan(versions: DataFrame, path: str, ledger: DataFrame | None = None, rules:
         after = scratch.cut(after, "ledger")
     # most blobs have no findings: their rows need no more than a missing match
     found = after.filter(F.size("findings") > 0).select("blob", "findings")
-    paths = versions.select(F.col(path), blob_id(F.col("text")).alias("blob"))
-    out = paths.join(found, "blob", "left").select(F.col(path), "blob", F.coalesce("findings", F.array().cast(N.SPAN)).alias("findings"))
+    paths = versions.select(F.col(path).alias("_path"), blob_id(F.col("text")).alias("blob"))
+    out = paths.join(found, "blob", "left").select(F.col("_path").alias(path), "blob", F.coalesce("findings", F.array().cast(N.SPAN)).alias("findings"))
     return out, after
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans: every document's secrets.
+
+    The first scan fills the ledger; the second, as the next run of the job
+    would, finds no unseen pair, moves no text, and reads the ledger.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    found, _ = scan(docs, "doc_id", scratch=Scratch(spark, "secrets"))
+    scratch = Scratch(spark, "secrets")
+    ledger = scratch.cut(scan_blobs(docs), "ledger")
+    found, _ = scan(docs, "doc_id", ledger, scratch=scratch)
     spans = found.withColumn("findings", N.ordered(F.col("findings"), KINDS, start_first=True))
     base = F.filter("findings", lambda s: s["kind"].isin(BASE))
     return spans.select(

@@ -83,3 +83,33 @@ def test_query(spark, tmp_path):
         joined = ",".join(f"{k}:{a}:{b}" for k, a, b in want)
         assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == x for k, _, _ in want) for x in secrets.BASE)
+
+
+def test_long_repeats_don_t_overflow_the_matcher(spark):
+    n = 100_000
+    texts = ["-----BEGIN " + "A " * n, "-----BEGIN " + "A" * n + " PRIVATE KEY-----", "password" + " " * n + "x", "token=" + "a." * n, "ab" * n, "AKIA" * n, "ghp_" + "A" * n]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found, _ = secrets.scan(df, "doc_id")
+    for r in found.collect():
+        got = sorted((s.start, secrets.KINDS.index(s.kind), s.kind, s.end) for s in r.findings if s.kind in secrets.BASE)
+        assert [(k, a, b) for a, _, k, b in got] == brute(texts[r.doc_id]), r.doc_id
+
+
+def test_a_second_scan_moves_no_text(spark, tmp_path):
+    from millrace.llm._shared import Scratch
+
+    scratch = Scratch(spark, "t")
+    df = rows(spark)
+    ledger = scratch.cut(secrets.scan_blobs(df), "ledger")
+    assert secrets.scan_blobs(df, ledger).count() == 0
+    found, after = secrets.scan(df, "doc_id", ledger, scratch=scratch)
+    assert after.count() == ledger.count() == len(set(TEXTS) - {None})
+    first, _ = secrets.scan(df, "doc_id")
+    key = lambda r: (r.doc_id, r.blob, sorted(map(tuple, r.findings)))
+    assert sorted(map(key, found.collect())) == sorted(map(key, first.collect()))
+
+
+def test_no_python_on_the_main_path(spark, tmp_path):
+    rows(spark).write.parquet(str(tmp_path / "documents.parquet"))
+    plan = secrets.op2_secret_scan(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
