@@ -1,22 +1,25 @@
 """Personal data by weak supervision, in Spark functions alone.
 
 Regular expressions propose spans. Five labelers vote on each of them (+1, 0
-or -1): the strict form, a gazetteer (domains, number ranges, country codes),
-helping context, hindering context and the digits' variety. Expectation
-maximisation over the counts of each pattern of votes estimates how reliable
-each labeler is for each kind, and gives each pattern a probability. These are
-the soft labels on which the final span classifier, a logistic regression over
-votes and span features, is trained. Only counts by pattern reach the driver:
-at most kinds x 3^5 votes x feature buckets rows, whatever the input.
-
-Spans of the strict kinds in BASE always stay; the classifier decides on the
-loose kinds (national telephone numbers, social security numbers, IBANs),
-which add to them and never overlap them.
-
-Defined cases: a null or empty text has no spans; repeated rows give repeated
-results; an empty table gives an empty one, and where no span is proposed the
-classifier accepts nothing; columns other than the text are left alone. Spans
-count code points, end exclusive.
+or -1): the form (strict, or a looser spelling of the same kind), a gazetteer
+(domains, number ranges, country codes, check digits), helping context,
+hindering context and the digits' variety. Expectation maximisation over the
+counts of each pattern of votes estimates how reliable each labeler is for each
+kind, and gives each pattern a probability. These are the soft labels on which
+the final span classifier, a logistic regression over votes and span features,
+is trained. Only counts by pattern reach the driver: at most kinds x 3^5 votes
+x feature buckets rows, whatever the input.
+
+The classifier alone decides on the loose kinds (national telephone numbers,
+social security numbers, IBANs), which add to the strict kinds in BASE and
+never overlap them. Spans of BASE always stay, as their definition is given;
+`doubtful` counts those that the classifier would refuse.
+
+Defined cases: a null or empty text has no spans; texts of any length are read
+whole; repeated rows give repeated results; where spans of two loose kinds
+overlap, both stay; an empty table gives an empty one, and where no span is
+proposed the classifier accepts nothing; columns other than the text are left
+alone. Spans count code points, end exclusive.
 """
 
 from __future__ import annotations
@@ -36,7 +39,7 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9]){15,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "ssn": r"(?<![0-9-])[0-9]{3}[\x20-][0-9]{2}[\x20-][0-9]{4}(?![0-9-])",
     "tel": r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9.-])",
     "iban": r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?\b",
 }
@@ -47,17 +50,30 @@ BASE, LOOSE = KINDS[:4], KINDS[4:]
 DOMAINS = "com org net edu gov mil int info biz io de fr es it uk us eu ch at nl be pl pt se no fi dk ca au jp cn in br mx ru".split()
 COUNTRY_CODES = "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98 212 213 216 234 254 351 352 353 358 370 371 372 380 385 386 420 421 852 886 966 971 972".split()
 IBAN_COUNTRIES = "AT BE CH CZ DE DK ES FI FR GB IE IT LU NL NO PL PT SE".split()
+# Whole words that stand before a span, by kind.
 HELPING = {
-    "email": "mail|contact|write|send|reach|kontakt|correo|courriel",
-    "ip": r"\bip\b|host|server|address|login|client|from",
-    "card": "card|visa|master|credit|debit|karte|carte|tarjeta|payment",
-    "phone": "phone|tel|call|fax|mobile|contact|cell",
+    "email": "e?-?mails?|contact|write|send|reach|kontakt|correo|courriel",
+    "ip": "ip|host|server|address|login|client",
+    "card": "cards?|visa|mastercard|credit|debit|karte|carte|tarjeta|payment",
+    "phone": "phone|telephone|tel|call|fax|mobile|contact|cell",
     "ssn": "ssn|social|security",
-    "tel": "phone|tel|call|fax|mobile|contact|cell",
+    "tel": "phone|telephone|tel|call|fax|mobile|contact|cell",
     "iban": "iban|account|bank|konto|compte|cuenta",
 }
-HINDERING = r"version|\bv\.?$|isbn|issn|order|invoice|\bref\b|\bsku\b|part no|model|serial|ticket"
-VOTES = ["strict", "gazetteer", "helping", "hindering", "variety"]
+HINDERING = "versions?|v|isbn|issn|orders?|invoice|ref|sku|part|model|serial|ticket"
+# Spellings that count as strict.
+STRICT = {
+    "email": r"^[A-Za-z0-9][^@]*@[A-Za-z0-9].*\.[A-Za-z]{2,}$",
+    "ip": r"^(?:0|[1-9][0-9]*)\.(?:0|[1-9][0-9]*)\.(?:0|[1-9][0-9]*)\.(?:0|[1-9][0-9]*)$",
+    "card": r"^(?:[0-9]+|[0-9]{4}([\x20-])[0-9]{4}\1[0-9]{4}\1[0-9]{4,7})$",
+    "phone": r"^\+[0-9]{8,}$|^\+[0-9]{1,3}[\x20.-]\(?[0-9]",
+    "ssn": r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$",
+    "tel": r"^\([0-9]{3}\)[\x20-][0-9]{3}-[0-9]{4}$",
+    "iban": r"^[A-Z0-9]+$|^[A-Z0-9]{4}(?:\x20[A-Z0-9]{4}){3,7}(?:\x20[A-Z0-9]{1,3})?$",
+}
+# Spellings that are neither strict nor loose: the form tells nothing.
+PLAIN = {"ssn": STRICT["ssn"], "tel": r"^[0-9]{3}([\x20.-])[0-9]{3}\1[0-9]{4}$", "iban": STRICT["iban"]}
+VOTES = ["form", "gazetteer", "helping", "hindering", "variety"]
 FEATURES = VOTES + ["long", "at_line_start"]
 CONTEXT = 40
 CANDIDATES = "array<struct<kind:string,start:int,end:int,x:array<int>>>"
@@ -95,31 +111,48 @@ def _valid(kind: str, m: Column) -> Column:
 def _gazetteer(kind: str, m: Column) -> Column:
     d = _digits(m)
     if kind == "email":
-        return F.when(F.lower(F.substring_index(m, ".", -1)).isin(DOMAINS), 1).otherwise(0)
+        return F.when(F.lower(F.substring_index(m, ".", -1)).rlike(f"^(?:{'|'.join(DOMAINS)})$"), 1).otherwise(0)
     if kind == "ip":
         first = F.substring_index(m, ".", 1).try_cast("int")
         return F.when(first.isin(0, 127, 255) | (first >= 224), -1).otherwise(1)
     if kind == "card":
         return F.when(d.rlike("^(4|5[1-5]|2[2-7]|3[0-9]|6)"), 1).otherwise(-1)
     if kind == "phone":
-        return F.when(F.array_contains(F.array(*map(F.lit, COUNTRY_CODES)), F.substring(d, 1, 1)) | F.array_contains(F.array(*map(F.lit, COUNTRY_CODES)), F.substring(d, 1, 2)) | F.array_contains(F.array(*map(F.lit, COUNTRY_CODES)), F.substring(d, 1, 3)), 1).otherwise(-1)
+        return F.when(d.rlike(f"^(?:{'|'.join(COUNTRY_CODES)})"), 1).otherwise(-1)
+    # most numbers are in the ranges of these two, so being in them tells nothing
     if kind == "ssn":
-        return F.when(d.rlike("^(000|666|9)|^...00|0000$"), -1).otherwise(1)
+        return F.when(d.rlike("^(000|666|9)|^...00|0000$"), -1).otherwise(0)
     if kind == "tel":
-        return F.when(d.rlike("^[01]|^...[01]"), -1).otherwise(1)
-    return F.when(F.substring(m, 1, 2).isin(IBAN_COUNTRIES), 1).otherwise(-1)
+        return F.when(d.rlike("^[01]|^...[01]"), -1).otherwise(0)
+    return F.when(m.rlike(f"^(?:{'|'.join(IBAN_COUNTRIES)})") & (_mod97(m) == 1), 1).otherwise(-1)
+
+
+def _mod97(m: Column) -> Column:
+    """The check of an IBAN: 1 if it is right."""
+    own = F.regexp_replace(m, "[^A-Z0-9]", "")
+    turned = F.split(F.concat(F.substring(own, 5, 40), F.substring(own, 1, 4)), "")
+    value = lambda c: F.when(c.between("0", "9"), F.ascii(c) - 48).otherwise(F.ascii(c) - 55)
+    return F.aggregate(F.filter(turned, lambda c: c != ""), F.lit(0), lambda r, c: ((r * F.when(value(c) > 9, 100).otherwise(10) + value(c)) % 97).cast("int"))
+
+
+def _form(kind: str, m: Column) -> Column:
+    if kind in PLAIN:
+        strict = F.when(m.rlike(STRICT[kind]), 1 if kind == "tel" else 0)
+        return strict.when(m.rlike(PLAIN[kind]), 0).otherwise(-1)
+    return F.when(m.rlike(STRICT[kind]), 1).otherwise(-1)
 
 
-def _features(kind: str, text: Column, start: Column, m: Column) -> Column:
-    before = F.lower(F.substring(text, F.greatest(start - CONTEXT + 1, F.lit(1)), F.least(start, F.lit(CONTEXT))))
-    line = F.when(start == 0, True).otherwise(F.substring(text, start, F.lit(1)) == "\n")
+def _features(kind: str, gap: Column, m: Column) -> Column:
+    """gap: the text before the match, back to the match of the kind before it."""
+    before = F.lower(F.right(gap, F.lit(CONTEXT)))
+    line = (gap == "") | gap.endswith("\n")
     d = _digits(m)
     x = [
-        F.lit(1 if kind in BASE else 0),
+        _form(kind, m),
         _gazetteer(kind, m),
-        F.when(before.rlike(HELPING[kind]), 1).otherwise(0),
-        F.when(before.rlike(HINDERING), -1).otherwise(0),
-        F.when(d.rlike(r"^([0-9])\1*$"), -1).otherwise(1) if kind != "email" else F.lit(0),
+        F.when(before.rlike(rf"\b(?:{HELPING[kind]})\b"), 1).otherwise(0),
+        F.when(before.rlike(rf"\b(?:{HINDERING})\b"), -1).otherwise(0),
+        F.when(d.rlike(r"^([0-9])\1*$"), -1).otherwise(0) if kind != "email" else F.lit(0),
         F.when(F.length(m) > 16, 1).otherwise(0),
         F.when(line, 1).otherwise(0),
     ]
@@ -130,28 +163,32 @@ def _features(kind: str, text: Column, start: Column, m: Column) -> Column:
 NEEDS = {"email": "@", "phone": "+", "ip": ".", "ssn": "-"}
 
 
+def _spans(kind: str) -> Column:
+    """The kind's valid matches, with votes and features."""
+    places = F.arrays_zip(F.col(f"_{kind}_gaps").alias("g"), F.col(f"_{kind}_starts").alias("s"))
+    found = F.zip_with(f"_{kind}", places, lambda m, p: F.struct(m.alias("m"), p["s"].alias("s"), p["g"].alias("g")))
+    return F.transform(
+        F.filter(found, lambda p: _valid(kind, p["m"])),
+        lambda p: F.struct(
+            F.lit(kind).alias("kind"), p["s"].alias("start"), (p["s"] + F.length(p["m"])).cast("int").alias("end"), _features(kind, p["g"], p["m"]).alias("x")
+        ),
+    )
+
+
 def candidates(df: DataFrame, text: str = "text") -> DataFrame:
     """Adds the column `candidates` (CANDIDATES): valid matches with votes and features."""
     t = F.coalesce(F.col(text), F.lit(""))
     none = F.array().cast("array<string>")
-    for kind, pattern in PATTERNS.items():
-        found = N.matches(t, pattern)
-        df = df.withColumn(f"_{kind}", F.when(t.contains(NEEDS[kind]), found).otherwise(none) if kind in NEEDS else found)
-    for kind, pattern in PATTERNS.items():
-        hit = F.col(f"_{kind}")
-        starts = F.when(F.size(hit) > 0, N.offsets(t, pattern, hit)).otherwise(F.array().cast("array<int>"))
-        pairs = F.filter(F.zip_with(hit, starts, lambda m, s: F.struct(m.alias("m"), s.alias("s"))), lambda p: _valid(kind, p["m"]))
-        spans = F.transform(
-            pairs,
-            lambda p: F.struct(
-                F.lit(kind).alias("kind"), p["s"].alias("start"), (p["s"] + F.length(p["m"])).cast("int").alias("end"), _features(kind, t, p["s"], p["m"]).alias("x")
-            ),
-        )
-        df = df.withColumn(f"_{kind}", F.when(F.size(hit) > 0, spans).otherwise(F.array().cast(CANDIDATES)))
+    hits = {k: N.matches(t, p) for k, p in PATTERNS.items()}
+    # few steps for all kinds, as each one is analysed anew
+    df = df.withColumns({f"_{k}": F.when(t.contains(NEEDS[k]), h).otherwise(none) if k in NEEDS else h for k, h in hits.items()})
+    df = df.withColumns({f"_{k}_gaps": F.when(F.size(f"_{k}") > 0, N.gaps(t, p, F.col(f"_{k}"))).otherwise(none) for k, p in PATTERNS.items()})
+    df = df.withColumns({f"_{k}_starts": N.offsets(F.col(f"_{k}_gaps"), F.col(f"_{k}")) for k in KINDS})
+    df = df.withColumns({f"_{k}": F.when(F.size(f"_{k}") > 0, _spans(k)).otherwise(F.array().cast(CANDIDATES)) for k in KINDS})
     base = F.concat(*[F.col(f"_{k}") for k in BASE])
     loose = F.concat(*[F.col(f"_{k}") for k in LOOSE])
     free = F.filter(loose, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    return df.withColumn("candidates", F.concat(base, free)).drop(*[f"_{k}" for k in KINDS])
+    return df.withColumn("candidates", F.concat(base, free)).drop(*[f"_{k}{x}" for k in KINDS for x in ("", "_gaps", "_starts")])
 
 
 def patterns(found: DataFrame) -> DataFrame:
@@ -163,21 +200,22 @@ def expectation_maximisation(votes: np.ndarray, n: np.ndarray, rounds: int = 200
     """Probability that a pattern of votes (-1, 0, 1) is personal data.
 
     Votes are independent given the truth; each labeler has a distribution of
-    votes for either truth, estimated from all patterns, with add-one counts.
+    votes for either truth, estimated from all patterns, with a few counts to begin with.
     Where fewer than three labelers know something, such distributions fit the
     counts equally well in many ways; `tie` settles it: either distribution
     also counts, by that weight, what the other one has with signs reversed,
     as if a labeler erred alike on both sides.
     """
-    p = 1 / (1 + np.exp(-votes.sum(axis=1).astype(float)))
+    # before anything is known: the majority, and no where nothing speaks for it
+    p = 1 / (1 + np.exp(0.5 - votes.sum(axis=1).astype(float)))
     cast = [[votes[:, j] == v for v in (-1, 0, 1)] for j in range(votes.shape[1])]
     for _ in range(rounds):
-        prior = np.clip((p * n).sum() / n.sum(), 0.02, 0.98)
+        prior = np.clip(((p * n).sum() + 1) / (n.sum() + 2), 0.02, 0.98)
         log = np.log(prior) - np.log(1 - prior) + np.zeros(len(n))
         for own in cast:
-            # a labeler counts as better than chance until counts say otherwise
-            yes = np.array([(p * n)[at].sum() for at in own]) + [1, 1, 2]
-            no = np.array([((1 - p) * n)[at].sum() for at in own]) + [2, 1, 1]
+            # a labeler counts as better than chance, and as silent in most cases, until counts say otherwise
+            yes = np.array([(p * n)[at].sum() for at in own]) + [1, 4, 2]
+            no = np.array([((1 - p) * n)[at].sum() for at in own]) + [2, 4, 1]
             yes, no = yes + tie * no[::-1], no + tie * yes[::-1]
             for at, q in zip(own, np.log(yes / yes.sum()) - np.log(no / no.sum()), strict=True):
                 log[at] += q
@@ -185,8 +223,11 @@ def expectation_maximisation(votes: np.ndarray, n: np.ndarray, rounds: int = 200
     return p
 
 
-def train(found: DataFrame, rounds: int = 400) -> dict[str, np.ndarray]:
-    """kind: weights of the span classifier, the last one the constant."""
+def train(found: DataFrame, rounds: int = 400, em_rounds: int = 200) -> dict[str, np.ndarray]:
+    """kind: weights of the span classifier, the last one the constant.
+
+    Without rounds of expectation maximisation, its soft labels are majorities.
+    """
     rows = patterns(found).collect()  # as many as there are patterns of votes
     out = {}
     for kind in KINDS:
@@ -194,7 +235,7 @@ def train(found: DataFrame, rounds: int = 400) -> dict[str, np.ndarray]:
         if not own:
             continue
         x, n = np.array([o[0] for o in own], float), np.array([o[1] for o in own], float)
-        soft = expectation_maximisation(x[:, : len(VOTES)].astype(int), n)
+        soft = expectation_maximisation(x[:, : len(VOTES)].astype(int), n, em_rounds)
         a, w = np.c_[x, np.ones(len(x))], np.zeros(x.shape[1] + 1)
         share = n / n.sum()
         for _ in range(rounds):
@@ -205,19 +246,20 @@ def train(found: DataFrame, rounds: int = 400) -> dict[str, np.ndarray]:
 
 
 def classify(found: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
-    """`candidates` becomes `findings` (N.SPAN): those of BASE, and the others that the model accepts."""
+    """`candidates` becomes `findings` (N.SPAN), those of BASE and the others that the model accepts, and `doubtful`."""
 
-    def accepted(c: Column) -> Column:
-        ok = c["kind"].isin(BASE)
+    def believed(c: Column) -> Column:
+        ok = F.lit(False)
         for kind, w in model.items():
-            if kind in LOOSE:
-                z = sum((c["x"][j] * float(w[j]) for j in range(len(FEATURES))), F.lit(float(w[-1])))
-                # a loose form alone is not enough, whatever its kin look like
-                ok = ok | ((c["kind"] == kind) & (z >= 0) & (c["x"][1] > 0) & (c["x"][2] > 0) & (c["x"][3] == 0))
+            weights = F.split(F.lit(" ".join(repr(float(v)) for v in w)), " ").cast("array<double>")
+            z = F.aggregate(F.zip_with(F.concat(c["x"], F.array(F.lit(1))), weights, lambda x, v: x * v), F.lit(0.0), lambda t, v: t + v)
+            ok = F.when(c["kind"] == kind, z >= 0).otherwise(ok)
         return ok
 
-    spans = F.transform(F.filter("candidates", accepted), lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end")))
-    return found.withColumn("findings", spans).drop("candidates")
+    kept = F.filter("candidates", lambda c: c["kind"].isin(BASE) | believed(c))
+    spans = F.transform(kept, lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end")))
+    doubtful = F.size(F.filter("candidates", lambda c: c["kind"].isin(BASE) & ~believed(c))).cast("long")
+    return found.withColumns({"findings": spans, "doubtful": doubtful}).drop("candidates")
 
 
 def _packed(df: DataFrame, text: str) -> DataFrame:
@@ -226,10 +268,10 @@ def _packed(df: DataFrame, text: str) -> DataFrame:
 
 
 def detect(df: DataFrame, scratch: Scratch, text: str = "text") -> DataFrame:
-    """The rows of df with `findings` (N.SPAN) in place of the text, which is read once."""
+    """The rows of df with `findings` (N.SPAN) and `doubtful` in place of the text, which is read once."""
     found = scratch.cut(candidates(_packed(df, text)).drop("text"), "candidates")
     out = classify(found, train(found))
-    return out.select(*[F.col("row").getField(c).alias(c) for c in df.columns if c not in (text, "findings")], "findings")
+    return out.select(*[F.col("row").getField(c).alias(c) for c in df.columns if c not in (text, "findings", "doubtful")], "findings", "doubtful")
 
 
 def masked(text: Column, spans: Column) -> Column:
@@ -265,6 +307,9 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[N.n_of(F.col("findings"), k).alias(f"n_{k}") for k in BASE],
         F.sha2(N.digest(base).cast("binary"), 256).alias("base_sha256"),
         N.digest(F.col("findings")).alias("spans"),
+        *[N.n_of(F.col("findings"), k).alias(f"n_{k}") for k in LOOSE],
+        F.size("findings").cast("long").alias("n_spans"),
+        F.col("doubtful").alias("n_doubtful"),
     )
 
 

@@ -106,3 +106,29 @@ def test_no_python_on_the_main_path(spark, tmp_path):
     rows(spark).write.parquet(str(tmp_path / "documents.parquet"))
     plan = pii.op3_personal_data(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_long_repeats_don_t_overflow_the_matcher(spark):
+    n = 100_000
+    texts = ["a@b" + ".c" * n, "a@" + "b" * n, "1." * 4000, "1 " * n, "+1" + "-2" * n, "+1" + " " * n + "2345678", "12-" * n, "DE44" + " A1B2" * n]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.detect(df, Scratch(spark, "t")).collect():
+        assert [(s.kind, s.start, s.end) for s in r.findings if s.kind in pii.BASE] == brute(texts[r.doc_id]), r.doc_id
+
+
+def test_estimated_reliabilities_change_what_is_accepted(spark):
+    # the cue stands before impossible numbers, parts' numbers and one plain number
+    lines = ["call part 112-055-7890"] * 40 + ["call part no (312) 155-7890"] * 40 + ["(212) 555-7890 here"] * 40 + ["so call 212-555-7891"]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    found = pii.candidates(df).cache()
+    accepted = lambda rounds: {r.doc_id for r in pii.classify(found, pii.train(found, em_rounds=rounds)).collect() if r.findings}
+    assert 120 in accepted(0) and 120 not in accepted(200)
+    assert accepted(200) >= set(range(80, 120))
+
+
+def test_the_form_and_check_digits_vary(spark):
+    lines = ["iban DE89 3704 0044 0532 0130 00", "iban DE88 3704 0044 0532 0130 00", "x hotel 212-555-7890"]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    x = {r.doc_id: r.candidates[0].x for r in pii.candidates(df).collect()}
+    assert x[0][1] == 1 and x[1][1] == -1  # the gazetteer, with the check digits
+    assert x[2][2] == 0  # "hotel" is no cue
