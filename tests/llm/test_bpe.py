@@ -60,20 +60,38 @@ def test_lookahead_of_a_small_merge_list():
 
 
 def test_streaming_holds_a_bounded_window(own):
-    tokens, at = [], 0
-    symbols = own.symbols("ab" * 6000)
-
-    def fed():
-        nonlocal at
-        for s in symbols:
-            at += 1
-            yield s
-
-    behind = 0
-    for t in own.stream(fed()):
-        tokens.append(t)
-        behind = max(behind, at - sum(own.length[x] for x in tokens)) if len(tokens) % 50 == 0 else behind
-    assert behind <= own.window and tokens == own.merged(symbols)
+    rng = random.Random(2)
+    for word in ("ab" * 6000, "a" * 9000, "".join(rng.choice("aeinrst") for _ in range(9000))):
+        t, tokens, at, behind = bpe.Transducer(own), [], 0, 0
+        letters = own.spelt(word)
+        while at < len(letters):
+            tokens += t.feed(letters[at : at + 100], at + 100 >= len(letters))
+            at += 100
+            behind = max(behind, min(at, len(letters)) - sum(own.length[x] for x in tokens))
+        assert behind <= own.ahead + own.longest and tokens == own.merged(own.symbols(word))
+        assert behind < 200  # what is held is far less than the bound here
+
+
+def test_tokens_are_emitted_before_the_word_ends(own):
+    t = bpe.Transducer(own)
+    assert t.feed(own.spelt("internationalisationandmore" * 3), False)
+
+
+def test_only_reachable_tokens_are_emitted(own):
+    byte = {c: b for b, c in enumerate(own.bytes)}
+    for name, i in list(own.vocab.items())[::7]:
+        letters = name.removesuffix(own.end)
+        s = [own.first[byte[c]] for c in letters]
+        if name != letters:
+            s[-1] = own.last[byte[letters[-1]]]
+        assert (own.merged(s) == [i]) == (i in own.formed), name
+
+
+def test_short_words_take_the_same_path(own):
+    rng = random.Random(3)
+    for _ in range(3000):
+        w = "".join(rng.choice("abcdehilnorstuéß") for _ in range(rng.randint(1, 14)))
+        assert np.frombuffer(own.word(w), "<u4").tolist() == own.merged(own.symbols(w)), w
 
 
 def test_decoder_takes_pieces(own):
