@@ -1,8 +1,9 @@
 """Token ids in a binary format, with Elias-Fano coded document boundaries.
 
 A store is a Parquet table whose rows are segments, in ascending order of
-document ids: (shard, seq, n_docs, n_tokens, block). Parquet gives atomic
-commits on any file system; the format itself is the self-contained block:
+document ids: (shard, seq, first, n_docs, n_tokens, block); `first` counts the
+tokens of the shard before the segment. Parquet gives atomic commits on any file
+system; the format itself is the self-contained block:
 
     4 bytes   b"MRT1"
     40 bytes  five little-endian int64: documents, documents with a null id
@@ -202,7 +203,7 @@ def loaded(spec: str) -> PieceEncoder:
     return _held[name]
 
 
-SEGMENTS = "shard int, seq int, n_docs long, n_tokens long, block binary"
+SEGMENTS = "shard int, seq int, first long, n_docs long, n_tokens long, block binary"
 
 
 def write(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", tokenizer: str | None = None, end_id: int = END_ID, segment: int = SEGMENT) -> None:
@@ -211,7 +212,8 @@ def write(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", t
     A null text is an empty one, of the end id alone; null ids come first;
     repeated rows are stored each; an empty table gives an empty store; other
     columns are not read. Rows are sorted by id, rows of one id by their text's
-    hash, which also parts an id of very many rows.
+    hash, which also parts an id of very many rows; equal rows are in any order,
+    which can't be told. A long text is one segment, however long.
     """
     from tokenizers import Tokenizer
 
@@ -229,13 +231,13 @@ def write(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", t
         keys: list[int | None] = []
         lengths: list[np.ndarray] = []
         parts: list[np.ndarray] = []
-        held = 0
+        held = done = 0
 
         def made() -> pa.RecordBatch:
             n, ids = np.concatenate(lengths), np.concatenate(parts)
             block = pack_block(keys, n, ids, width)
-            columns = [pa.array([x], t) for x, t in ((shard, pa.int32()), (seq, pa.int32()), (len(keys), pa.int64()), (len(ids), pa.int64()), (block, pa.binary()))]
-            return pa.RecordBatch.from_arrays(columns, names=["shard", "seq", "n_docs", "n_tokens", "block"])
+            columns = [pa.array([x], t) for x, t in ((shard, pa.int32()), (seq, pa.int32()), (done, pa.int64()), (len(keys), pa.int64()), (len(ids), pa.int64()), (block, pa.binary()))]
+            return pa.RecordBatch.from_arrays(columns, names=["shard", "seq", "first", "n_docs", "n_tokens", "block"])
 
         for whole in batches:
             for batch, column in slices(whole, limit=ENCODE_SLICE):
@@ -255,6 +257,7 @@ def write(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", t
                     at = stop
                     if held >= segment or at < len(own):
                         yield made()
+                        done += held
                         keys, lengths, parts, held, seq = [], [], [], 0, seq + 1
         if keys:
             yield made()
@@ -270,10 +273,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     # one row a shard, that is, a task of the writer
     shards = store.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
     before = shards.select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("before"))
-    seqs = store.select("shard", "seq", "n_tokens")
-    inside = F.sum("n_tokens").over(Window.partitionBy("shard").orderBy("seq")) - F.col("n_tokens")
-    base = seqs.withColumn("inside", inside).join(before, "shard").select("shard", "seq", (F.col("inside") + F.col("before")).alias("base"))
-    return store.join(base, ["shard", "seq"])
+    # a number for each of these is sent to all tasks, so no block moves
+    return store.join(F.broadcast(before), "shard").withColumn("base", F.col("before") + F.col("first")).drop("before")
 
 
 def documents(segments: DataFrame, with_ids: bool = False) -> DataFrame:
