@@ -7,8 +7,9 @@ depth, digit ratio, entropy, parameter counts and statistics of suffixes of the
 host, and decide the rest.
 
 Rules are few and given, so they are literal expressions; suffix statistics are
-a grouped sum over all labelled URLs. The trees are fitted on about SAMPLE
-labelled URLs at most, drawn by a hash.
+a grouped sum over all labelled URLs; where a URL is one of those it is fitted
+on, its own label is left out of its statistics. The trees are fitted on about
+SAMPLE labelled URLs at most, drawn by a hash of the URL.
 """
 
 from __future__ import annotations
@@ -113,12 +114,18 @@ def features(df: DataFrame) -> DataFrame:
     )
 
 
-def _with_suffixes(df: DataFrame, model: Model) -> DataFrame:
-    """Adds suffix1 to suffix3: the share of blocked URLs among those labelled with the same suffix."""
+def _with_suffixes(df: DataFrame, model: Model, label: str | None = None) -> DataFrame:
+    """Adds suffix1 to suffix3: the share of blocked URLs among those labelled with the same suffix.
+
+    A row that has a `label` is one of these, and doesn't count for itself.
+    """
+    n, s = F.coalesce("_n", F.lit(0)), F.coalesce("_s", F.lit(0.0))
+    if label:
+        n, s = n - 1, s - F.col(label)
     for i in (1, 2, 3):
         # joined, not broadcast: there are as many suffixes as the input has
-        own = model.suffixes.select(F.col("key").alias(f"key{i}"), F.col("share").alias(f"suffix{i}"))
-        df = df.join(own, f"key{i}", "left").withColumn(f"suffix{i}", F.coalesce(f"suffix{i}", F.lit(model.rate)))
+        own = model.suffixes.select(F.col("key").alias(f"key{i}"), F.col("n").alias("_n"), F.col("s").alias("_s"))
+        df = df.join(own, f"key{i}", "left").withColumn(f"suffix{i}", (s + PRIOR * model.rate) / (n + PRIOR)).drop("_n", "_s")
     return df
 
 
@@ -131,20 +138,21 @@ def judged(df: DataFrame, url: str = "url", rules: list[tuple[str, str, str]] =
 def train(urls: DataFrame, scratch: Scratch, rules: list[tuple[str, str, str]] = RULES, sample: int = SAMPLE) -> Model:
     """A model from the URLs that a rule decides; of one verdict alone, or of none, it has no trees."""
     own = judged(urls.select("url"), rules=rules).filter("rule is not null")
-    known = scratch.cut(features(own.withColumn("label", (F.col("verdict") == "block").cast("double"))).drop("url", "path", "host", "rule", "verdict"), "labelled")
+    own = own.withColumn("label", (F.col("verdict") == "block").cast("double")).withColumn("draw", F.xxhash64("url"))
+    known = scratch.cut(features(own).drop("url", "path", "host", "rule", "verdict"), "labelled")
     n, blocked = known.agg(F.count(F.lit(1)), F.sum("label")).first()
     blocked = blocked or 0.0
     rate = blocked / n if n else 0.0
     if not n or blocked in (0.0, float(n)):
         return Model(None, rate, None)
     keys = known.select("label", F.explode(F.array("key1", "key2", "key3")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("s"))
-    suffixes = scratch.cut(keys.select("key", ((F.col("s") + PRIOR * rate) / (F.col("n") + PRIOR)).alias("share")), "suffixes")
+    suffixes = scratch.cut(keys, "suffixes")
     model = Model(suffixes, rate, None)
     if n > sample:
-        known = known.filter(F.rand(10) < sample / n)
-    rows = VectorAssembler(inputCols=FEATURES, outputCol="x").transform(_with_suffixes(known, model)).select("label", "x")
-    # one file of a bounded sample, in an order of its own, so that a rerun sees the same
-    rows = scratch.cut(rows.repartition(2), "sample")
+        known = known.filter(F.pmod("draw", F.lit(1 << 30)) < int((1 << 30) * sample / n))
+    rows = VectorAssembler(inputCols=FEATURES, outputCol="x").transform(_with_suffixes(known, model, "label")).select("draw", "label", "x")
+    # a bounded sample, dealt and ordered by its hash, so that a rerun sees the same
+    rows = scratch.cut(rows.repartition(2, "draw").sortWithinPartitions("draw", "label").select("label", "x"), "sample")
     return Model(suffixes, rate, GBTClassifier(labelCol="label", featuresCol="x", maxIter=TREES, maxDepth=DEPTH, maxBins=32, seed=10).fit(rows))
 
 
@@ -152,9 +160,11 @@ def judge(df: DataFrame, model: Model, key: str, url: str = "url", rules: list[t
     """(key, host, path, rule, verdict, score) for each row of df.
 
     A null url, or one without "://", has an empty host and path, and the
-    trees' verdict on those. Repeated rows get equal verdicts; an empty table
-    gives an empty result; other columns are not read. Where nothing could be
-    learnt, the verdict is allow, or block if all labelled URLs are blocked.
+    trees' verdict on those. URLs of any length are read whole. Repeated rows
+    get equal verdicts; of rules of one length the first by host and path
+    decides; an empty table gives an empty result; other columns are not read.
+    Where nothing could be learnt, the verdict is allow, or block if all
+    labelled URLs are blocked.
     """
     own = judged(df.select(F.col(key).alias("key"), F.col(url).alias("url")), rules=rules)
     if model.trees is None:
@@ -167,6 +177,17 @@ def judge(df: DataFrame, model: Model, key: str, url: str = "url", rules: list[t
     return out.select(F.col("key").alias(key), "host", "path", "rule", F.coalesce("verdict", method).alias("verdict"), F.when(F.col("rule").isNull(), F.col("score")).alias("score"))
 
 
+def agreement(urls: DataFrame, scratch: Scratch, url: str = "url") -> tuple[int, float, float]:
+    """(number, share judged as the rules do, the same of blocked ones), on a fifth of the URLs that rules decide, of which the trees learn nothing."""
+    urls = urls.select(F.col(url).alias("url"))
+    held = F.pmod(F.xxhash64("url", F.lit(1)), F.lit(5)) == 0
+    out = judge(urls.filter(held).withColumn("key", F.lit(0)), train(urls.filter(~held), scratch), "key", rules=[])
+    out = out.withColumn("_r", rule_of(F.col("host"), F.col("path"))).filter("_r.rule is not null")
+    right, block = F.col("_r.verdict") == F.col("verdict"), F.col("_r.verdict") == "block"
+    r = out.agg(F.count(F.lit(1)), F.avg(right.cast("double")), F.avg(F.when(block, right.cast("double")))).first()
+    return r[0], r[1] or 0.0, r[2] or 0.0
+
+
 def op10_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     return judge(pages, train(pages, Scratch(spark, "urls")), "page_id")
