@@ -24,36 +24,37 @@ from pyspark.sql import functions as F
 from ._shared import flat, mapped, slices
 
 DIMENSIONS = 512
-#: Symbols: a blank, a-z, other letters by their code point modulo the rest.
-SYMBOLS = 64
+#: Letters whose vectors a worker keeps; trigrams that are bound at a time.
+KEPT, PART = 20_000, 4096
 UNKNOWN = "und"
 #: Texts of so many letters are rejected below MARGIN times the least cosine of held-out ones.
 LETTERS = 100
 MARGIN = 0.75
 
 
-def letters() -> tuple[np.ndarray, np.ndarray]:
-    """(symbol, is a letter) by code point; what is no letter is a blank."""
-    symbol, letter = np.zeros(0x110000, np.uint8), np.zeros(0x110000, bool)
-    for c in range(0x110000):
-        if unicodedata.category(chr(c))[0] == "L":
-            letter[c] = True
-            low = chr(c).lower()
-            p = ord(low[0])
-            symbol[c] = p - 96 if 97 <= p <= 122 else 27 + p % (SYMBOLS - 27)
-    return symbol, letter
+_held: dict[str, np.ndarray] = {}
+_vectors: dict[int, np.ndarray] = {}
 
 
-_held: dict[str, tuple] = {}
+def lowered() -> np.ndarray:
+    """The lower-case letter of each code point, 0 for what is no letter; kept by the worker."""
+    if "l" not in _held:
+        low = np.zeros(0x110000, np.int32)
+        for c in range(0x110000):
+            if unicodedata.category(chr(c))[0] == "L":
+                low[c] = ord(chr(c).lower()[0])
+        _held["l"] = low
+    return _held["l"]
 
 
-def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The letters' tables and, by place in a trigram, each symbol's vector; kept by the worker."""
-    if "t" not in _held:
-        rng = np.random.default_rng(5)
-        base = rng.integers(0, 2, (SYMBOLS, DIMENSIONS)).astype(np.int8) * 2 - 1
-        _held["t"] = (*letters(), np.stack([np.roll(base, 2 - place, axis=1) for place in range(3)]))
-    return _held["t"]
+def vectors_of(letters: np.ndarray) -> np.ndarray:
+    """A vector of signs for each code point; 0, a blank, has one too."""
+    if len(_vectors) > KEPT:
+        _vectors.clear()
+    for c in letters.tolist():
+        if c not in _vectors:
+            _vectors[c] = np.random.default_rng((5, c)).integers(0, 2, DIMENSIONS).astype(np.int8) * 2 - 1
+    return np.stack([_vectors[c] for c in letters.tolist()])
 
 
 def code_points(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -77,28 +78,34 @@ def profiles(column: pa.Array) -> Iterator[np.ndarray | None]:
 
 def counted_profiles(column: pa.Array) -> Iterator[tuple[np.ndarray | None, int]]:
     """(profile, letters) of each text."""
-    symbol, letter, vectors = _tables()
     points, off = code_points(*flat(column))
-    points = np.minimum(points, 0x10FFFF)
-    s, is_letter = symbol[points].astype(np.int32), letter[points]
+    low = lowered()[np.minimum(points, 0x10FFFF)]
+    # symbols: the letters of these texts, numbered, and 0 for a blank
+    letters = np.unique(np.append(low, 0))
+    s, k = np.searchsorted(letters, low), len(letters)
+    base = vectors_of(letters)
+    vectors = [np.roll(base, 2 - place, axis=1) for place in range(3)]
     for a, b in zip(off[:-1], off[1:]):
-        letters_in = int(is_letter[a:b].sum())
+        letters_in = int(np.count_nonzero(s[a:b]))
         if not letters_in:
             yield None, 0
             continue
         own = np.concatenate([[0], s[a:b], [0]])
-        code = own[:-2] * (SYMBOLS * SYMBOLS) + own[1:-1] * SYMBOLS + own[2:]
+        code = own[:-2] * (k * k) + own[1:-1] * k + own[2:]
         # long texts have each trigram often: counts by table instead of sorting
-        if len(code) > 30_000:
-            n = np.bincount(code, minlength=SYMBOLS**3)
+        if len(code) > 30_000 and k**3 <= 1 << 20:
+            n = np.bincount(code, minlength=k**3)
             code = np.flatnonzero(n)
             n = n[code]
         else:
             code, n = np.unique(code, return_counts=True)
-        at = code // SYMBOLS % SYMBOLS != 0  # a blank in the middle tells nothing
-        code, n = code[at], n[at]
-        bound = vectors[0][code // (SYMBOLS * SYMBOLS)] * vectors[1][code // SYMBOLS % SYMBOLS] * vectors[2][code % SYMBOLS]
-        total = n.astype(np.float32) @ bound.astype(np.float32)
+        at = code // k % k != 0  # a blank in the middle tells nothing
+        code, n = code[at], n[at].astype(np.float32)
+        total = np.zeros(DIMENSIONS, np.float32)
+        for i in range(0, len(code), PART):
+            c = code[i : i + PART]
+            bound = vectors[0][c // (k * k)] * vectors[1][c // k % k] * vectors[2][c % k]
+            total += n[i : i + PART] @ bound.astype(np.float32)
         yield total / max(float(np.sqrt(total @ total)), 1e-12), letters_in
 
 
@@ -154,8 +161,10 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """docs with `lang_pred` and `score` in place of the text.
 
     A null text, or one without a letter, is "und" with score 0, and so is any
-    text if nothing could be learnt. Repeated rows get equal results; an empty
-    table gives an empty one. Columns named like the new ones are replaced.
+    text if nothing could be learnt. Texts of any length are read whole. Repeated
+    rows get equal results; of languages with equal cosines the first by name is
+    taken; an empty table gives an empty one. Columns named like the new ones are
+    replaced.
     """
     keep = [c for c in docs.columns if c not in (text, "lang_pred", "score")]
     out = _predicted(docs, keep, model, text)

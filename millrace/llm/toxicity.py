@@ -3,16 +3,22 @@
 Two words are alike by the subsequences of three letters that they share, each
 weighted by DECAY to the power of the length it spans in either word, so gaps
 and inserted characters cost a little each; the kernel is normalised. Letters
-spelt out with blanks between them are one word.
-
-Landmarks are words of labelled texts: of those that tell the labels apart most,
+spelt out with blanks between them are one word. A run of more than LONGEST
+bytes without a blank is covered by words of LONGEST bytes, each half over the
+next and cut between characters, so that any subsequence, and any insult of up
+to half as many bytes, is whole in one of them. Letters other than a-z count by
+their code point modulo 37, so a few of them are taken for one another.
+
+Landmarks are words of labelled texts, of three characters or more, as shorter
+ones have no subsequence: of those that tell the labels apart most,
 the ones that cover the toxic texts, each where those before do not. A text is mapped to its
 largest kernel value with each landmark, whitened by the inverse root of the
 landmarks' own kernel matrix, and a linear support vector machine, trained on
 labelled texts, decides; a logistic curve makes its margin a score.
 
-Kernel values below FLOOR count as none. What a word can reach at most is known
-from its subsequences that any landmark has, so most words need no kernel.
+Kernel values below FLOOR count as none. By Cauchy and Schwarz a word can reach
+no more than the root of the share of its squared weights that is on subsequences
+which any landmark has, so most words need no kernel.
 
 About SAMPLE labelled rows at most, drawn by a hash of their ids, fit the model;
 the driver gets LANDMARKS numbers for each of them. All rows are scored.
@@ -30,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._shared import Scratch, flat, mapped, slices, word_runs
-from .language import SYMBOLS, _tables, code_points
+from .language import code_points, lowered
 from .minhash import SPACE
 
 DECAY = 0.7
@@ -41,7 +47,9 @@ LANDMARKS = 96
 #: Words among which the landmarks are chosen.
 TELLING = 2000
 COVER = 2
-LONGEST = 64  # words are matched piece by piece beyond this
+LONGEST = 48
+#: Symbols: none for what is no letter, a-z, other letters by their code point modulo the rest.
+SYMBOLS = 64
 
 
 def words(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -59,33 +67,66 @@ def words(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
         joined[1:-1] = (low[1:-1] == 32) & one[:-2] & one[2:]
         space &= ~joined
     starts, ends, first = word_runs(~space, off)
-    # cut long runs into pieces, so that no word is unbounded
+    if not len(starts):
+        return pa.array([], pa.large_binary()), np.zeros(0, np.int64), first
     n = -(-(ends - starts) // LONGEST)
-    if len(n) and n.max() > 1:
-        at = np.concatenate([[0], np.cumsum(n)])
-        first = at[first]
-        inside = np.arange(at[-1]) - np.repeat(at[:-1], n)
-        starts, last = np.repeat(starts, n) + inside * LONGEST, np.repeat(ends, n)
-        ends = np.minimum(starts + LONGEST, last)
-    # offsets for Arrow: words and the gaps between them, in turn
+    if n.max() == 1:
+        coded = _taken(low, starts, ends).dictionary_encode()
+        return coded.dictionary, coded.indices.to_numpy().astype(np.int64), first
+    text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    parts, texts = [], []
+    # pieces side by side, and pieces over their borders
+    for many, shift in ((n, 0), (n - 1, LONGEST // 2)):
+        inside = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        a = np.repeat(starts, many) + inside * LONGEST + shift
+        last = np.repeat(ends, many)
+        b = np.minimum(a + LONGEST, last)
+        for _ in range(3):  # back to a character's first byte
+            a -= (low[a] & 0xC0) == 0x80
+            b -= (b < last) & ((low[np.minimum(b, len(low) - 1)] & 0xC0) == 0x80)
+        parts.append(_taken(low, a, b))
+        texts.append(np.repeat(text, many))
+    texts = np.concatenate(texts)
+    order = np.argsort(texts, kind="stable")
+    coded = pa.concat_arrays(parts).take(pa.array(order)).dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy().astype(np.int64), np.searchsorted(texts[order], np.arange(len(first)))
+
+
+def _taken(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """data[starts:ends] of ascending pieces that don't overlap."""
+    # offsets for Arrow: pieces and the gaps between them, in turn
     bounds = np.stack([starts, ends], axis=1).ravel()
     if not len(bounds):
-        return pa.array([], pa.large_binary()), np.zeros(0, np.int64), first
-    pieces = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(low)])
-    coded = pieces.take(pa.array(np.arange(0, len(bounds) - 1, 2))).dictionary_encode()
-    return coded.dictionary, coded.indices.to_numpy().astype(np.int64), first
+        return pa.array([], pa.large_binary())
+    pieces = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data)])
+    return pieces.take(pa.array(np.arange(0, len(bounds) - 1, 2)))
+
+
+_held: dict[str, np.ndarray] = {}
+
+
+def symbols() -> np.ndarray:
+    """The symbol of each code point, 0 for what is no letter; kept by the worker."""
+    if "s" not in _held:
+        low = lowered()
+        _held["s"] = np.where(low == 0, 0, np.where((low >= 97) & (low <= 122), low - 96, 27 + low % (SYMBOLS - 27))).astype(np.uint8)
+    return _held["s"]
 
 
 def subsequences(distinct: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word, code, weight) of all weighted subsequences of large_binary words."""
-    symbol, letter, _ = _tables()
+    """(word, code, weight) of all weighted subsequences of large_binary words, equal ones of a word added up."""
     _, off, data = distinct.buffers()
     off = np.frombuffer(off, np.int64)[distinct.offset : distinct.offset + len(distinct) + 1]
     data = np.frombuffer(data, np.uint8)[off[0] : off[-1]] if data is not None else np.zeros(0, np.uint8)
     points, first = code_points(data, off - off[0])
     points = np.minimum(points, 0x10FFFF)
-    s = np.where(letter[points], symbol[points], 0).astype(np.int32)
+    s = symbols()[points].astype(np.int32)
     word = np.repeat(np.arange(len(distinct)), np.diff(first))
+    # only words with a letter twice can have a subsequence twice
+    each = np.sort(word * SYMBOLS + s)
+    twice = np.zeros(len(distinct), bool)
+    again = each[1:][(each[1:] == each[:-1]) & (each[1:] % SYMBOLS > 0)]
+    twice[again // SYMBOLS] = True
     out = []
     for a in range(1, REACH + 1):
         for b in range(1, REACH + 1):
@@ -99,6 +140,8 @@ def subsequences(distinct: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(0, np.float32)
     w, c, v = (np.concatenate(x) for x in zip(*out))
+    many = twice[w]
+    w, c, v = (np.concatenate(x) for x in zip((w[~many], c[~many], v[~many]), _merged(w[many], c[many], v[many])))
     order = np.argsort(w, kind="stable")
     return w[order], c[order], v[order]
 
@@ -112,7 +155,7 @@ def _merged(w: np.ndarray, c: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np
 class Landmarks:
     def __init__(self, names: list[bytes]):
         self.names = names
-        w, c, v = _merged(*subsequences(pa.array(names, pa.large_binary())))
+        w, c, v = subsequences(pa.array(names, pa.large_binary()))
         codes = np.unique(c)
         self.row = np.zeros(SYMBOLS**3, np.int32)
         self.row[codes] = np.arange(1, len(codes) + 1)
@@ -127,16 +170,14 @@ class Landmarks:
         rows = self.row[c]
         known = rows > 0
         v2 = v * v
-        # by Cauchy and Schwarz, the kernel is below the root of the share of
-        # known subsequences; half of it, as a word can have one twice
         share = np.bincount(w[known], v2[known], n) / np.maximum(np.bincount(w, v2, n), 1e-9)
-        some = np.flatnonzero(share >= FLOOR * FLOOR / 2)
+        some = np.flatnonzero(share >= FLOOR * FLOOR - 1e-5)
         if not len(some):
             return some, np.zeros((0, len(self.names)), np.float32)
         at = np.full(n, -1)
         at[some] = np.arange(len(some))
         keep = at[w] >= 0
-        w, c, v = _merged(at[w[keep]], c[keep], v[keep])
+        w, c, v = at[w[keep]], c[keep], v[keep]
         norm = np.sqrt(np.bincount(w, v * v, len(some)))
         values = np.empty((len(some), len(self.names)), np.float32)
         hit = self.row[c]
@@ -261,7 +302,7 @@ def train(labelled: DataFrame, scratch: Scratch, text: str = "text", label: str
         return Model([], np.zeros(0), 1.0 if p else -1.0)
     odds = F.log((F.col("pos") + 0.5) / (p - F.col("pos") + 0.5)) - F.log((F.col("neg") + 0.5) / (q - F.col("neg") + 0.5))
     deviation = F.sqrt(1 / (F.col("pos") + 0.5) + 1 / (F.col("neg") + 0.5))
-    telling = counts.filter("pos >= 2 and length(word) > 3").withColumn("z", odds / deviation).orderBy(F.desc("z"), "word").limit(TELLING).collect()
+    telling = counts.filter("pos >= 2 and length(cast(word as string)) >= 3").withColumn("z", odds / deviation).orderBy(F.desc("z"), "word").limit(TELLING).collect()
     vocabulary = [bytes(r["word"]) for r in telling]
 
     def which(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,9 +353,10 @@ def _logistic(margin: np.ndarray, y: np.ndarray, rounds: int = 30) -> tuple[floa
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """docs with `score` and `predicted` in place of the text.
 
-    A null or empty text has the score of a text without any landmark. Repeated
-    rows get equal scores; an empty table gives an empty one; columns named
-    like the new ones are replaced.
+    A null or empty text has the score of a text without any landmark; a text of
+    any length is read whole. Repeated rows get equal scores; a score of just 0.5
+    is predicted as 1; an empty table gives an empty one; columns named like the
+    new ones are replaced.
     """
     keep = [c for c in docs.columns if c not in (text, "score", "predicted")]
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep], F.lit(0).alias("_")).alias("row"), F.col(f"`{text}`").alias("text"))

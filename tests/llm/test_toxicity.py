@@ -43,7 +43,20 @@ def test_spelt_out_words_are_one():
     distinct, place, first = toxicity.words(strings(pa.array(["you i d i o t now", "A b", None, "x" * 200])))
     names = distinct.to_pylist()
     assert [names[i] for i in place[first[0] : first[1]]] == [b"you", b"i d i o t", b"now"]
-    assert first.tolist()[2] == first.tolist()[3] and first[4] - first[3] == 4
+    assert first.tolist()[2] == first.tolist()[3]
+    assert {names[i] for i in place[first[3] : first[4]]} == {b"x" * toxicity.LONGEST, b"x" * (200 % toxicity.LONGEST), b"x" * (200 % toxicity.LONGEST + toxicity.LONGEST // 2)}
+
+
+def test_long_runs_are_covered_by_overlapping_words():
+    rng = np.random.default_rng(4)
+    for n in (47, 48, 49, 95, 97, 144, 500):
+        run = "".join(rng.choice(list("abcé")) for _ in range(n))
+        distinct, place, first = toxicity.words(strings(pa.array(["one", run, "two"])))
+        names = [x.decode() for x in distinct.to_pylist()]  # no character is cut
+        pieces = [names[i] for i in place[first[1] : first[2]]]
+        half = toxicity.LONGEST // 2 // 2
+        assert all(any(run[k : k + half] in p for p in pieces) for k in range(n - half + 1))
+        assert [names[i] for i in place[: first[1]]] == ["one"] and [names[i] for i in place[first[2] :]] == ["two"]
 
 
 def corpus(rng, n):
