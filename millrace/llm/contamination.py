@@ -18,12 +18,17 @@ an item of fewer than SHORT in all windows of exactly n, so a copy has its bits)
 
 Items go to all tasks as arrays, sent with the function, so their number is
 bounded: a benchmark of more than ITEMS_A_PART items is taken in parts, with
-one pass over the documents each.
+one pass over the documents each, whose result is written before the next part
+is fetched.
+
+A text of fewer words than a shingle is one shingle, of the whole sequence: an
+item that is so short matches just the documents that consist of its words.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import batched, chain
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +57,10 @@ WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
 def shingled(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(shingle hashes, offsets): the shingles of each text of a strings() array."""
+    """(shingle hashes, offsets): the shingles of each text of a strings() array.
+
+    A text of fewer words than a shingle is one shingle, with its own hash.
+    """
     data, off = flat(column)
     starts, ends, first = word_runs(WORD[data], off)
     words = word_hashes(LOWER[data], starts, ends)
@@ -63,7 +71,20 @@ def shingled(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     for j in range(1, k):
         at = first[1:] - j
         last[at[(n >= j)]] = False
-    return many[last], np.concatenate([[0], np.cumsum(np.maximum(n - k + 1, 0))])
+    count = np.where(n >= k, n - k + 1, n > 0)
+    off = np.concatenate([[0], np.cumsum(count)])
+    short = np.flatnonzero((n > 0) & (n < k))
+    if not len(short):
+        return many[last], off
+    whole = n[short].astype(U64)  # the length keeps it apart
+    for j in range(k - 1):
+        some = n[short] > j
+        whole[some] = mix(whole[some] * U64(31) + words[first[short[some]] + j])
+    out = np.empty(off[-1], U64)
+    rest = np.ones(off[-1], bool)
+    rest[off[short]] = False
+    out[off[short]], out[rest] = whole, many[last]
+    return out, off
 
 
 def ladder(largest: int) -> np.ndarray:
@@ -271,21 +292,28 @@ def matches(docs: DataFrame, key: str, text: str, items: Items, similarity: floa
     return mapped(docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")), search(items, similarity), FOUND)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY, radius: int = RADIUS, scratch: Scratch | None = None) -> DataFrame:
     """FOUND rows for all documents and items, one for each pair that matches.
 
-    Items of fewer words than a shingle, empty and null ones have no shingle
-    and match nothing, and so do such documents; repeated rows give repeated
-    results; empty tables give an empty result; other columns are not read.
+    Empty and null items have no shingle and match nothing, and so do such
+    documents; long texts are read whole; repeated rows of documents give
+    repeated results, those of items don't; of places of equal similarity one
+    is reported; empty tables give an empty result; other columns are not read.
     """
     own = benchmark.select(F.col(item_key).cast("long").alias("i"), F.col(item_text).alias("t")).filter("t is not null").distinct()
-    # the benchmark, which is given, not gathered; parts bound what one pass sends
-    rows = sorted((r["i"], r["t"]) for r in own.toLocalIterator())
-    found = None
-    for at in range(0, max(len(rows), 1), ITEMS_A_PART):
-        part = rows[at : at + ITEMS_A_PART]
-        one = matches(docs, key, text, Items([r[0] for r in part], [r[1] for r in part], shingle, radius), similarity)
-        found = one if found is None else found.unionByName(one)
+    # Spark sorts the items; the driver has one part of them at a time
+    parts = batched(own.orderBy("i", "t").toLocalIterator(), ITEMS_A_PART)
+    part, more = next(parts, ()), next(parts, None)
+
+    def one(part: tuple) -> DataFrame:
+        return matches(docs, key, text, Items([r["i"] for r in part], [r["t"] for r in part], shingle, radius), similarity)
+
+    if more is None:
+        return one(part)
+    scratch = scratch or Scratch(docs.sparkSession, "items")
+    found = scratch.cut(one(part), "found")
+    for part in chain([more], parts):
+        found = found.unionByName(scratch.cut(one(part), "found"))
     return found
 
 

@@ -127,3 +127,19 @@ def test_short_items_verbatim_at_every_place():
     items = {100 * n + i: text(n + 4) for n in range(1, 20) for i in range(40)}
     docs = {k: text(rng.randint(0, 60)) + own + text(rng.randint(0, 60)) for k, own in items.items()}
     assert {(k, k) for k in items} <= searched(items, docs)
+
+
+def test_items_shorter_than_a_shingle_match_texts_of_just_their_words(spark):
+    docs = spark.createDataFrame([(1, "Yes, it is"), (2, "yes it is so"), (3, "yes it"), (4, "it is yes")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "yes it is")], "item_id long, text string")
+    assert [(r.id, r.item_id, r.similarity) for r in contamination.contaminated(docs, items).collect()] == [(1, 7, 1.0)]
+
+
+def test_parts_of_the_benchmark_find_what_all_of_it_finds(spark, monkeypatch):
+    texts = [" ".join(f"w{i}x{j}" for j in range(8 + i)) for i in range(7)]
+    docs = spark.createDataFrame([(i, "before " + t + " after") for i, t in enumerate(texts)], "doc_id long, text string")
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    key = lambda df: sorted((r.id, r.item_id, r.similarity) for r in df.collect())
+    whole = key(contamination.contaminated(docs, items))
+    monkeypatch.setattr(contamination, "ITEMS_A_PART", 3)
+    assert key(contamination.contaminated(docs, items)) == whole and len(whole) == 7
