@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import random
 
 from millrace.llm import minhash
@@ -76,3 +77,11 @@ def test_repeated_rows_and_empty_table(spark):
     rows = minhash.near_duplicates(df).collect()
     assert sorted((r.id, r.component_id) for r in rows) == [(3, 3), (5, 3), (5, 3)]
     assert minhash.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_rows_of_one_id_are_one_document(spark):
+    a, b = "one two three four five six seven eight", "nine ten eleven twelve thirteen fourteen fifteen"
+    first, other = sorted((a, b), key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    df = spark.createDataFrame([(5, a), (5, b), (6, first), (7, other), (None, a), (None, None)], "doc_id long, text string")
+    got = sorted((-1 if r.id is None else r.id, r.component_id, r.kept) for r in minhash.near_duplicates(df).collect())
+    assert got == [(-1, None, True), (-1, None, True), (5, 5, True), (5, 5, True), (6, 5, False), (7, 7, True)]
