@@ -5,6 +5,8 @@ inside the queries, so they travel with them to the workers.
 """
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,11 +52,11 @@ def grouped_map(spark: SparkSession, d: str) -> DataFrame:
 
 
 def arrow_map(spark: SparkSession, d: str) -> DataFrame:
-    def even(parts):
-        for part in parts:
-            yield part[part["o_orderkey"] % 2 == 0]
+    def named(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pc.binary_join_element_wise(b.column(1), pc.cast(b.column(0), pa.string()), "-")], names=["o_orderkey", "name"])
 
-    return table(spark, d, "orders").select("o_orderkey", "o_orderstatus").mapInPandas(even, "o_orderkey long, o_orderstatus string")
+    return table(spark, d, "orders").select("o_orderkey", "o_orderstatus").mapInArrow(named, "o_orderkey long, name string")
 
 
 def lateral(spark: SparkSession, d: str) -> DataFrame:
@@ -90,7 +92,7 @@ ORACLE = {
 WITH RECURSIVE t AS (SELECT n_name, 0 AS step, n_nationkey::BIGINT AS value FROM nation WHERE n_nationkey > 0
 UNION ALL SELECT n_name, step + 1, value // 2 FROM t WHERE value // 2 > 0) SELECT n_name, step, value FROM t""",
     "grouped_map": "SELECT c_custkey, round(c_acctbal - avg(c_acctbal) OVER (PARTITION BY c_nationkey), 6) AS apart FROM customer",
-    "arrow_map": "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 2 = 0",
+    "arrow_map": "SELECT o_orderkey, o_orderstatus || '-' || o_orderkey AS name FROM orders",
     "lateral": "SELECT n_name, (SELECT count(*) FROM customer c WHERE c.c_nationkey = n.n_nationkey AND c.c_acctbal > 5000) AS n FROM nation n",
     "edit_distance": "SELECT p_partkey, levenshtein(p_type, 'STANDARD')::INTEGER AS distance FROM part",
     "url_hosts": "SELECT regexp_extract(url, '://([^/?#]*)', 1) AS host, count(*) AS n FROM pages GROUP BY 1",

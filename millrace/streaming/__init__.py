@@ -2,7 +2,8 @@
 
 Each function takes a streaming (or batch) DataFrame of events with `ts` as a
 timestamp and returns one; the caller chooses sink, trigger and checkpoint.
-State is bounded by the watermark in each.
+State is bounded by the watermark, but for running_totals, which keeps two
+numbers of each user for good.
 """
 
 from __future__ import annotations

@@ -61,3 +61,13 @@ def test_entry_query_runs(spark):
     import __spark_entry__
 
     assert __spark_entry__.entry(spark).count() > 0
+
+
+def test_join_hints_choose_the_join(spark):
+    plan = lambda name: plans.queries()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan("broadcast_hint") and "SortMergeJoin" in plan("merge_hint")
+
+
+@pytest.mark.parametrize("name", ["except_distinct", "except_all", "null_tests", "sketch_errors", "right_join", "union_all"])
+def test_queries_have_rows(spark, name):
+    assert plans.queries()[name](spark, DATA).count() > 0
