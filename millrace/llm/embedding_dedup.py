@@ -293,7 +293,8 @@ def compare(pairs: DataFrame, blocks: DataFrame, directions: np.ndarray, cosine:
                 if not same:
                     u.append(ib[cb > 0])
                     n.append(cb[cb > 0])
-                u, n = np.concatenate([*u, [0]]), np.concatenate([*n, [met]])
+                # of a block with itself, each pair is seen from either side
+                u, n = np.concatenate([*u, [0]]), np.concatenate([*n, [(met + len(ia)) // 2 if same else met]])
                 eu, ev = _forest(near, ia, ib)
                 edge = np.arange(len(u) + len(eu)) >= len(u)
                 yield pa.RecordBatch.from_arrays(
