@@ -36,7 +36,7 @@ from ._shared import mapped, slices
 
 #: Words of up to this many characters are kept with their ids: the last so many
 #: that were used, and up to as many before them. So are pairs of tokens.
-KEPT_LENGTH, KEPT_WORDS, KEPT_PAIRS = 48, 150_000, 200_000
+KEPT_LENGTH, KEPT_WORDS, KEPT_PAIRS = 48, 300_000, 400_000
 #: Letters that a long word is read by; characters that a text is read by.
 STEP, PIECE = 512, 1 << 16
 BLANK = re.compile("[ \t\n\r]")
@@ -198,7 +198,7 @@ class Bpe:
     def word(self, word: str) -> bytes:
         out = self.kept.get(word)
         if out is None:
-            out = self.kept_before.get(word) or b"".join(self.stream(self.spelt(word)))
+            out = self.kept_before.get(word) or b"".join(self.stream(word if word.isalnum() and word.isascii() else self.spelt(word)))
             if len(word) <= KEPT_LENGTH:
                 if len(self.kept) >= KEPT_WORDS:
                     self.kept, self.kept_before = {}, self.kept
@@ -262,19 +262,23 @@ class Transducer:
     def feed(self, letters: str, last: bool) -> list[int]:
         """Tokens that have become stable; `last` ends the word."""
         bpe, token, back = self.bpe, self.token, self.back
-        tokens, pairs, apart, longest = bpe.tokens, bpe.pairs, bpe.apart, bpe.longest
+        tokens, pairs, apart, longest = bpe.tokens.get, bpe.pairs.get, bpe.apart, bpe.longest
         text = self.text = self.text + letters
         n = len(text)
         for i in range(len(token), n + 1):
-            end = bpe.end if last and i == n else ""
+            part = text[:i] + bpe.end if last and i == n else text[:i]
             for j in range(i - longest if i > longest else 0, i):
-                piece = text[j:i] + end if end else text[j:i]
-                if piece in tokens:
-                    t, before = tokens[piece], token[j]
-                    if before is None or (pairs[before << 20 | t] if before << 20 | t in pairs else apart(before, t)):
-                        token.append(t)
-                        back.append(j)
-                        break
+                t = tokens(part[j:])
+                if t is None:
+                    continue
+                before = token[j]
+                if before is not None:
+                    ok = pairs(before << 20 | t)
+                    if not (apart(before, t) if ok is None else ok):
+                        continue
+                token.append(t)
+                back.append(j)
+                break
         return self._emit(n) if last else self._emit(self._stable(n))
 
     def _stable(self, n: int) -> int:
@@ -294,7 +298,7 @@ class Transducer:
         if place:
             self.text = self.text[place:]
             self.token = self.token[place:]
-            self.back = [max(0, b - place) for b in self.back[place:]]
+            self.back = [b - place if b > place else 0 for b in self.back[place:]]
         if len(self.text) > self.bpe.longest and len(self.text) > self.bpe.ahead + self.bpe.longest:
             raise AssertionError("more letters are held than can matter")
         return out[::-1]

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._shared import Scratch, flat, mapped, slices
+from ._shared import Scratch, flat, gathered, mapped, slices
 
 MAGIC = b"MRT1"
 RANKED = 512
@@ -239,7 +239,7 @@ def write(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", t
             columns = [pa.array([x], t) for x, t in ((shard, pa.int32()), (seq, pa.int32()), (done, pa.int64()), (len(keys), pa.int64()), (len(ids), pa.int64()), (block, pa.binary()))]
             return pa.RecordBatch.from_arrays(columns, names=["shard", "seq", "first", "n_docs", "n_tokens", "block"])
 
-        for whole in batches:
+        for whole in gathered(batches, ENCODE_SLICE):
             for batch, column in slices(whole, limit=ENCODE_SLICE):
                 ids, n = encoder.encode(column)
                 ids = np.insert(ids, np.cumsum(n), end_id)
