@@ -158,18 +158,6 @@ def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES)
         at = end
 
 
-def gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
-    """Batches of about `limit` bytes, made of smaller ones."""
-    held: list[pa.RecordBatch] = []
-    for b in batches:
-        held.append(b)
-        if sum(x.nbytes for x in held) >= limit:
-            yield pa.concat_batches(held)
-            held = []
-    if held:
-        yield pa.concat_batches(held)
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser of splitmix64."""
     x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)
