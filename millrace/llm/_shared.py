@@ -128,6 +128,23 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     )
 
 
+def roots(scratch: Scratch, links: DataFrame) -> DataFrame:
+    """(id, component) for every node of a forest of links (id, above), where each id is named once and above is smaller.
+
+    Every round replaces what stands above a node by what stands above that, so
+    a chain of n links takes about log n rounds of one join. Its other side has a
+    row an id, and both are plain shuffles, so Spark splits a node with many below it.
+    """
+    e = scratch.cut(links.select("id", F.col("above").alias("component"), F.lit(True).alias("moved")), "above")
+    while not e.filter("moved").isEmpty():
+        up = e.select(F.col("id").alias("component"), F.col("component").alias("next"))
+        old = e
+        e = scratch.cut(e.join(up, "component", "left").select("id", F.coalesce("next", "component").alias("component"), F.col("next").isNotNull().alias("moved")), "above")
+        scratch.drop(old)
+    tops = e.select("component").distinct()
+    return scratch.cut(e.select("id", "component").union(tops.select("component", "component")), "labels")
+
+
 def strings(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     """A null-free large_string array of the same length."""
     if isinstance(column, pa.ChunkedArray):

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._shared import LOWER, U64, Scratch, components, flat, mapped, mix, shingle_hashes, slices, word_hashes, word_runs
+from ._shared import LOWER, U64, Scratch, components, flat, mapped, mix, roots, shingle_hashes, slices, word_hashes, word_runs
 
 
 @dataclass(frozen=True)
@@ -393,18 +393,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", f:
     # the most similar earlier class of each class: enough to join most groups
     best = todo.groupBy("v").agg(F.max(F.struct("equal", (-F.col("u")).alias("u"))).alias("m")).select((-F.col("m.u")).alias("u"), "v")
     tested = scratch.cut(confirmed(best, full, f), "tested")
-    links = tested.filter("linked").select("u", "v")
-    labels = scratch.cut(components(scratch, links), "labels")
+    labels = roots(scratch, tested.filter("linked").select(F.col("v").alias("id"), F.col("u").alias("above")))
     rest = _across(todo.join(tested, ["u", "v"], "left_anti"), labels)
     more = scratch.cut(confirmed(rest, full, f), "tested")
-    labels = scratch.cut(_joined(scratch, labels, more), "labels")
+    labels = _joined(scratch, labels, more)
     tested = tested.union(more)
     rare = scratch.cut(rare_shingles(crowd_ids, full, f), "rare")
     facts = scratch.cut(crowd_facts(rare, classes.join(crowd_ids, "id", "left_semi"), full, labels), "facts")
     late = crowded_pairs(scratch, crowd, facts, f).union(likely(rare_pairs(rare, facts, f), classes, f).select("u", "v"))
     late = scratch.cut(late.distinct().join(tested, ["u", "v"], "left_anti"), "late")
     late = scratch.cut(confirmed(late, full, f), "tested")
-    labels = scratch.cut(_joined(scratch, labels, late), "labels")
+    labels = _joined(scratch, labels, late)
     scratch.drop(classes, full, todo, crowd)
     found = member.join(labels.select(F.col("id").alias("class"), "component"), "class", "left")
     component = F.coalesce("component", "class", "id")
@@ -427,16 +426,27 @@ def one_text_an_id(rows: DataFrame) -> DataFrame:
 
 
 def _joined(scratch: Scratch, labels: DataFrame, tested: DataFrame) -> DataFrame:
-    """The components with more links: those found so far are stars, so few rounds are needed."""
-    stars = labels.filter("id <> component").select(F.col("id").alias("u"), F.col("component").alias("v"))
-    return components(scratch, stars.union(tested.filter("linked").select("u", "v")))
+    """The components with more links: only the components that these join are labelled anew."""
+    links = tested.filter("linked").select("u", "v")
+    if links.isEmpty():
+        return labels
+    upper = scratch.cut(components(scratch, _named(links, labels).select(F.col("cu").alias("u"), F.col("cv").alias("v"))), "upper")
+    # an end without a label so far is a component of its own
+    every = labels.union(upper.select("id", F.col("id").alias("component"))).distinct()
+    named = every.join(upper.select(F.col("id").alias("component"), F.col("component").alias("above")), "component", "left")
+    return scratch.cut(named.select("id", F.coalesce("above", "component").alias("component")), "labels")
 
 
-def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs whose ends are not yet of one component."""
+def _named(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """pairs (u, v) with the components cu and cv of their ends."""
     a, b = (labels.select(F.col("id").alias(x), F.col("component").alias(f"c{x}")) for x in "uv")
     both = pairs.join(a, "u", "left").join(b, "v", "left")
-    return both.filter("coalesce(cu, u) <> coalesce(cv, v)").select("u", "v")
+    return both.select("u", "v", F.coalesce("cu", "u").alias("cu"), F.coalesce("cv", "v").alias("cv"))
+
+
+def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs whose ends are not yet of one component."""
+    return _named(pairs, labels).filter("cu <> cv").select("u", "v")
 
 
 def op6_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:

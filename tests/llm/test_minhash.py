@@ -4,6 +4,7 @@ import hashlib
 import random
 
 from millrace.llm import minhash
+from millrace.llm._shared import Scratch, roots
 
 
 def shingles(text, k):
@@ -85,3 +86,22 @@ def test_rows_of_one_id_are_one_document(spark):
     df = spark.createDataFrame([(5, a), (5, b), (6, first), (7, other), (None, a), (None, None)], "doc_id long, text string")
     got = sorted((-1 if r.id is None else r.id, r.component_id, r.kept) for r in minhash.near_duplicates(df).collect())
     assert got == [(-1, None, True), (-1, None, True), (5, 5, True), (5, 5, True), (6, 5, False), (7, 7, True)]
+
+
+def test_roots_of_chains_and_stars(spark):
+    """A chain of 40 links, a star, and a chain that a later link joins to both."""
+    chain = [(i + 1, i) for i in range(40)]
+    star = [(100 + i, 100) for i in range(1, 30)]
+    tail = [(202, 200), (205, 202)]
+    df = spark.createDataFrame(chain + star + tail, "id long, above long")
+    scratch = Scratch(spark, "test")
+    labels = roots(scratch, df)
+    got = {r.id: r.component for r in labels.collect()}
+    assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 130)} | {200: 200, 202: 200, 205: 200}
+    assert labels.count() == len(got)
+    more = spark.createDataFrame([(40, 205, True), (110, 205, True), (300, 301, True), (5, 301, False)], "u long, v long, linked boolean")
+    merged = minhash._joined(scratch, labels, more).collect()
+    assert len(merged) == len(got) + 2
+    assert {r.id: r.component for r in merged} == {i: 0 for i in got} | {300: 300, 301: 300}
+    none = roots(scratch, spark.createDataFrame([], "id long, above long"))
+    assert none.count() == 0 and minhash._joined(scratch, none, more.filter("not linked")).count() == 0
