@@ -1,7 +1,6 @@
 """Helpers that the operators of this subpackage share.
 
-* ``Scratch`` cuts lineage by writing a table to the folder which the cluster
-  names in ``spark.checkpoint.dir`` and reading it back.
+* ``Scratch``, of ``millrace.scratch``, cuts lineage by written tables.
 * ``components`` labels connected components without collecting any edge.
 * ``slices``, ``flat`` and the ``word_*`` functions work on the bytes of an
   Arrow string column, so that a batch is tokenised and hashed by numpy.
@@ -9,16 +8,15 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import Scratch, is_local, shared_dir
+
 U64 = np.uint64
 #: Odd base of the polynomial word hash; fixed, so hashes agree between runs.
 BASE = 0x9E3779B97F4A7C15
@@ -27,8 +25,6 @@ SLICE_BYTES = 1 << 20
 #: Most bytes of an Arrow batch, of which the JVM and the worker hold one each.
 BATCH_BYTES = 4 << 20
 
-_own_dir: dict[str, str] = {}
-
 
 def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """mapInArrow in batches of bounded size; lowers the session's bound on them if it is larger."""
@@ -39,57 +35,6 @@ def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     return df.mapInArrow(run, schema)
 
 
-def is_local(spark: SparkSession) -> bool:
-    """Whether driver and tasks share one machine; local-cluster is a cluster."""
-    master = spark.sparkContext.master
-    return master == "local" or master.startswith("local[")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only in a local session that names none."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    if not is_local(spark):
-        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _own_dir:
-        _own_dir[app] = "file://" + tempfile.mkdtemp(prefix="millrace-")
-    return _own_dir[app]
-
-
-class Scratch:
-    """Tables of one operator call, below the shared folder."""
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
-        self.root = f"{shared_dir(spark)}/millrace/{name}-{uuid.uuid4().hex}"
-        self.n = 0
-        atexit.register(self._forget, self.root)
-
-    def _forget(self, path: str) -> None:
-        try:
-            jvm = self.spark._jvm
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            conf = self.spark._jsc.hadoopConfiguration()
-            at.getFileSystem(conf).delete(at, True)
-        except Exception:  # the session may be gone at exit
-            pass
-
-    def cut(self, df: DataFrame, name: str = "t") -> DataFrame:
-        """Writes df once and returns the written table."""
-        self.n += 1
-        path = f"{self.root}/{name}-{self.n}"
-        df.write.parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
-        out._scratch_path = path
-        return out
-
-    def drop(self, *tables: DataFrame) -> None:
-        for t in tables:
-            self._forget(t._scratch_path)
-
-
 def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     """(id, component) for every endpoint of edges (u, v).
 
