@@ -74,19 +74,19 @@ def climb(nodes: DataFrame, width: int, stride: int) -> DataFrame:
     members has each node's row and its path so far, from below.
     """
     size = width**stride
-    x = nodes.select("g", "n", "h", "i", F.floor(F.col("i") / size).alias("block"), F.array(F.struct("row", F.array().cast(f"array<{STEP}>").alias("path"))).alias("members"))
+    x = nodes.select("g", "n", "h", "i", F.expr(f"i div {size}").alias("block"), F.array(F.struct("row", F.array().cast(f"array<{STEP}>").alias("path"))).alias("members"))
     x = x.repartition("g", "block")
     for _ in range(stride):
-        run = Window.partitionBy("g", "block", F.floor(F.col("i") / width)).orderBy("i").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        run = Window.partitionBy("g", "block", F.expr(f"i div {width}")).orderBy("i").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         x = x.withColumn("run", F.collect_list(F.struct("h", "members")).over(run)).filter(F.col("i") % width == 0)
         single = F.col("n") <= 1
         x = x.select(
             "g",
             "block",
-            F.floor(F.col("i") / width).alias("i"),
+            F.expr(f"i div {width}").alias("i"),
             F.when(single, F.col("h")).otherwise(digest(F.array_join(F.col("run")["h"], ""))).alias("h"),
             F.when(single, F.col("members")).otherwise(F.expr(GROWN)).alias("members"),
-            F.ceil(F.col("n") / width).alias("n"),
+            F.expr(f"(n + {width - 1}) div {width}").alias("n"),
         )
     return x.select("g", F.col("block").alias("i"), "h", "n", "members")
 

@@ -60,7 +60,7 @@ def test_manifest_is_the_definition(spark, n, width, stride):
 
 
 def test_one_row_and_none(spark):
-    one = spark.createDataFrame(some(1)[:1], SCHEMA)
+    one = spark.createDataFrame(some(9)[:1], SCHEMA)
     r = merkle.manifest(one, "lang", ["doc_id"], merkle.COLUMNS).first()
     assert r.leaf == r.subroot == r.root and r.path == []
     assert merkle.manifest(one.limit(0), "lang", ["doc_id"], merkle.COLUMNS).collect() == []
@@ -86,6 +86,6 @@ def test_values_don_t_run_together(spark):
 
 
 def test_levels_share_a_shuffle(spark):
-    nodes = spark.range(500).select(F.lit("g").alias("g"), F.col("id").alias("i"), F.lit("h").alias("h"), F.lit(500).cast("long").alias("n"), F.struct("id").alias("row"))
+    nodes = spark.range(500).select((F.col("id") % 2).cast("string").alias("g"), F.col("id").alias("i"), F.lit("h").alias("h"), F.lit(500).cast("long").alias("n"), F.struct("id").alias("row"))
     plan = merkle.climb(nodes, 2, 6)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and plan.count("Window ") == 6
