@@ -6,7 +6,7 @@ from functools import wraps
 from importlib import import_module
 from pathlib import Path
 
-MODULES = ["contamination", "secrets", "pii", "embedding_dedup", "language", "minhash", "token_store", "bpe", "toxicity", "urlfilter", "merkle", "vector_codes"]
+MODULES = ["contamination", "secrets", "pii", "embedding_dedup", "language", "minhash", "token_store", "bpe", "toxicity", "urlfilter", "merkle", "vector_codes", "order_minhash"]
 
 
 def importable(spark) -> None:
