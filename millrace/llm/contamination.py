@@ -246,18 +246,17 @@ def candidates_in(items: Items, tables: dict, shingles: np.ndarray, off: np.ndar
                         yield i, int(item), x
 
 
-FOUND = "id long, item_id long, similarity double, start int, n_shingles int"
+FOUND = "item_id long, similarity double, start int, n_shingles int"
 
 
 def search(items: Items, similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The function of matches(), from batches of (id, text) to FOUND rows."""
+    """The function of matches(), from batches of (id, text) to (id, FOUND) rows."""
     held: dict[str, dict] = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = held.setdefault("tables", items.tables()) if "tables" not in held else held["tables"]
         for whole in batches:
             for batch, column in slices(whole, limit=1 << 20):
-                ids = batch.column(0).to_numpy(zero_copy_only=False)
                 shingles, off = shingled(column, items.shingle)
                 best: dict[tuple[int, int], tuple[float, int]] = {}
                 done: set[tuple[int, int, int]] = set()
@@ -275,7 +274,7 @@ def search(items: Items, similarity: float) -> Callable[[Iterator[pa.RecordBatch
                 rows = sorted(best)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([ids[i] for i, _ in rows], pa.int64()),
+                        batch.column(0).take(pa.array([i for i, _ in rows], pa.int64())),
                         pa.array([items.ids[j] for _, j in rows], pa.int64()),
                         pa.array([best[x][0] for x in rows], pa.float64()),
                         pa.array([best[x][1] for x in rows], pa.int32()),
@@ -288,13 +287,15 @@ def search(items: Items, similarity: float) -> Callable[[Iterator[pa.RecordBatch
 
 
 def matches(docs: DataFrame, key: str, text: str, items: Items, similarity: float) -> DataFrame:
-    """FOUND rows: the best place of each item that a document holds; start counts shingles."""
-    return mapped(docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")), search(items, similarity), FOUND)
+    """(id, FOUND) rows: the best place of each item that a document holds; start counts shingles, id is the key, of any type."""
+    own = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
+    return mapped(own, search(items, similarity), f"id {own.schema['id'].dataType.simpleString()}, {FOUND}")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY, radius: int = RADIUS, scratch: Scratch | None = None) -> DataFrame:
-    """FOUND rows for all documents and items, one for each pair that matches.
+    """(id, FOUND) rows for all documents and items, one for each pair that matches.
 
+    Keys are handed through as they are: a document without one is reported with a null.
     Empty and null items have no shingle and match nothing, and so do such
     documents; long texts are read whole; repeated rows of documents give
     repeated results, those of items don't; of places of equal similarity one
@@ -318,9 +319,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, scratch: Scratch) -> DataFrame:
-    """The documents that hold no benchmark item."""
-    bad = scratch.cut(contaminated(docs, benchmark).select(F.col("id").alias("doc_id")).distinct(), "leaks")
-    return docs.join(bad, "doc_id", "left_anti")
+    """The documents that hold no benchmark item, whatever their ids: the digest of a text tells which ones do."""
+    known = F.sha2(F.col("text").cast("binary"), 256)
+    bad = scratch.cut(contaminated(docs.select(known.alias("digest"), "text"), benchmark, key="digest").select("id").distinct(), "leaks")
+    return docs.join(bad.select(F.col("id").alias("_leak")), known == F.col("_leak"), "left_anti")
 
 
 def op1_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:

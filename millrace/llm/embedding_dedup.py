@@ -57,7 +57,7 @@ def usable(df: DataFrame, key: str, vector: str, group: str) -> DataFrame:
     v = F.col(vector).cast("array<double>")
     finite = F.forall("v", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     own = df.select(F.col(key).cast("long").alias("id"), F.col(group).alias("part"), v.alias("v"))
-    return own.filter("part is not null and v is not null").filter(finite).filter(F.exists("v", lambda x: x != 0))
+    return own.filter("id is not null and part is not null and v is not null").filter(finite).filter(F.exists("v", lambda x: x != 0))
 
 
 def moments(vectors: DataFrame, dim: int) -> np.ndarray:
@@ -330,7 +330,9 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
 
     Rows are compared only within a group that isn't null. A vector that is
     null, empty, zero or holds null or non-finite components has no links, nor
-    have vectors of different lengths with each other. Repeated rows of one id
+    have vectors of different lengths with each other. A row without an id has no
+    links either, nor does it count as a copy: its component is null, and it is
+    kept. Of equal vectors the smallest id stands for all. Repeated rows of one id
     count as copies. An empty table gives an empty result; other columns are
     not read. `cosine` must be above 0. `report` gets the pairs of different
     vectors that are possible within groups, and those that were compared.
@@ -362,7 +364,7 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     own = rows.join(linked, ["part", "dim", "unit"]).groupBy("id").agg(F.max("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
     out = df.select(F.col(key).cast("long").alias("id")).join(own, "id", "left")
     component = F.coalesce("component_id", "id")
-    return out.select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("id") == component).alias("kept"))
+    return out.select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
 
 
 def op4_epsilon_grid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -143,3 +143,16 @@ def test_parts_of_the_benchmark_find_what_all_of_it_finds(spark, monkeypatch):
     whole = key(contamination.contaminated(docs, items))
     monkeypatch.setattr(contamination, "ITEMS_A_PART", 3)
     assert key(contamination.contaminated(docs, items)) == whole and len(whole) == 7
+
+
+def test_rows_without_an_id(spark):
+    item = "one two three four five six seven eight nine ten eleven twelve"
+    big = 2**60 + 1
+    rows = [(None, f"before {item} after", "x"), (big, item, "x"), (None, "a clean text of some words that nobody tests", "x"), (5, None, "x"), (big, "the same id but another text that is clean", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, id string").coalesce(1)
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = contamination.contaminated(docs, benchmark).collect()
+    assert sorted((str(r.id), r.item_id) for r in got) == [(str(big), 1), ("None", 1)]
+    left = contamination.decontaminate(docs, benchmark, Scratch(spark, "test"))
+    assert left.columns == docs.columns
+    assert sorted(map(str, left.collect())) == sorted(str(r) for r in docs.collect() if r.text is None or item not in r.text)

@@ -55,3 +55,12 @@ def test_empty_and_unusable_tables(spark):
     df = spark.createDataFrame([(1, None, 1), (2, [0.0], None)], "vec_id long, embedding array<double>, label int")
     assert sorted(tuple(r) for r in embedding_dedup.near_duplicates(df).collect()) == [(1, 0, 1, True), (2, 0, 2, True)]
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_rows_without_an_id_have_no_links(spark):
+    v = [[1.0, 0.0], [1.0, 0.01], [1.0, 0.02], [0.0, 1.0]]
+    rows = [(None, v[0], 1), (None, v[0], 1), (None, v[3], 1), (2**60 + 1, v[1], 1), (2**60 + 3, v[2], 1), (7, v[2], 2)]
+    got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted((str(r.id), r.n_links, str(r.component_id), r.kept) for r in got) == sorted(
+        [("None", 0, "None", True)] * 3 + [(str(2**60 + 1), 1, str(2**60 + 1), True), (str(2**60 + 3), 1, str(2**60 + 1), False), ("7", 0, "7", True)]
+    )
