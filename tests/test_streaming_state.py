@@ -35,7 +35,9 @@ def stream(spark, tmp_path):
         if ends:
             q.awaitTermination(120)
         else:  # in processing time there is always another batch
-            q.processAllAvailable()
+            until = time.time() + 60
+            while sum(p["numInputRows"] for p in q.recentProgress) < sum(map(len, batches)) and time.time() < until:
+                time.sleep(0.2)
             q.stop()
         return spark.read.parquet(f"{tmp_path}/out").collect()
 
