@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["tpch", "relational", "extensions", "scalars", "streams"]
+MODULES = ["tpch", "relational", "extensions", "scalars", "streams", "advanced"]
 
 
 def queries() -> dict:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from .. import operators
 from ..functions import money, timestamp
+from ..operators import scans
+from ..operators.quantiles import quantiles
 from ..sources import table
 
 
@@ -53,17 +55,19 @@ def range_buckets(spark: SparkSession, d: str) -> DataFrame:
 
 def statistics(spark: SparkSession, d: str) -> DataFrame:
     x = table(spark, d, "lineitem")
-    return x.groupBy("l_returnflag").agg(
+    out = x.groupBy("l_returnflag").agg(
         F.countDistinct("l_suppkey").alias("suppliers"),
         F.count_if(F.col("l_discount") > 0.05).alias("discounted"),
         F.min("l_shipdate").alias("first_ship"),
         F.max("l_quantity").alias("most"),
         F.round(F.stddev("l_quantity"), 6).alias("sd"),
         F.round(F.corr("l_quantity", "l_extendedprice"), 6).alias("corr"),
-        F.median("l_quantity").alias("med"),
-        F.round(F.percentile("l_extendedprice", 0.9), 2).alias("p90"),
         F.max_by("l_orderkey", F.struct("l_extendedprice", "l_orderkey")).alias("dearest"),
     )
+    # percentiles would hold a key's distinct values in one task
+    med = quantiles(x, ["l_returnflag"], "l_quantity", [0.5]).select("l_returnflag", F.col("q0").alias("med"))
+    p90 = quantiles(x, ["l_returnflag"], "l_extendedprice", [0.9]).select("l_returnflag", F.round("q0", 2).alias("p90"))
+    return out.join(med, "l_returnflag").join(p90, "l_returnflag")
 
 
 def rollup(spark: SparkSession, d: str) -> DataFrame:
@@ -97,16 +101,20 @@ def string_lists(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ranks(spark: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("c_nationkey").orderBy(F.desc("c_acctbal"), "c_custkey")
-    c = table(spark, d, "customer")
-    return c.select(
+    """All ranks within nations, of which there are few, so without a window over one."""
+    c = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    placed = scans.running(c, ["c_nationkey"], [("c_acctbal", False), ("c_custkey", True)])
+    known = scans.ranked(placed, ["c_nationkey"], [("c_mktsegment", True)])
+    position, size = F.col("position"), F.col("size")
+    return known.select(
         "c_custkey",
-        F.row_number().over(w).alias("rn"),
-        F.dense_rank().over(Window.partitionBy("c_nationkey").orderBy("c_mktsegment")).alias("dr"),
-        F.rank().over(Window.partitionBy("c_nationkey").orderBy("c_mktsegment")).alias("rk"),
-        F.ntile(4).over(w).alias("quartile"),
-        F.round(F.percent_rank().over(w), 9).alias("pr"),
-        F.round(F.cume_dist().over(w), 9).alias("cd"),
+        position.cast("int").alias("rn"),
+        F.col("dense_rank").cast("int").alias("dr"),
+        F.col("rank").cast("int").alias("rk"),
+        scans.tile(4, position, size).cast("int").alias("quartile"),
+        # no two rows tie in balance and key
+        F.round(F.when(size > 1, (position - 1) / (size - 1)).otherwise(F.lit(0.0)), 9).alias("pr"),
+        F.round(position / size, 9).alias("cd"),
     )
 
 
@@ -148,7 +156,8 @@ def user_sessions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def hot_keys(spark: SparkSession, d: str) -> DataFrame:
-    return operators.salted_count(table(spark, d, "events"), ["event_type"])
+    # counts are partial before the shuffle, so a hot key moves a row a task
+    return table(spark, d, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _keys(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
