@@ -36,7 +36,7 @@ from ._shared import mapped, slices
 
 #: Words of up to this many characters are kept with their ids: the last so many
 #: that were used, and up to as many before them. So are pairs of tokens.
-KEPT_LENGTH, KEPT_WORDS, KEPT_PAIRS = 48, 300_000, 400_000
+KEPT_LENGTH, KEPT_WORDS, KEPT_PAIRS = 48, 120_000, 400_000
 #: Letters that a long word is read by; characters that a text is read by.
 STEP, PIECE = 512, 1 << 16
 BLANK = re.compile("[ \t\n\r]")
