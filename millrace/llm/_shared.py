@@ -8,6 +8,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -26,13 +28,53 @@ SLICE_BYTES = 1 << 20
 BATCH_BYTES = 4 << 20
 
 
+_kept: dict[tuple[str, str], dict] = {}
+
+
+def kept(module: str, what: str = "") -> dict:
+    """What tasks of a module keep in a Python worker for its later tasks.
+
+    Workers outlive queries and stages, so it is emptied when tasks of another module come.
+    """
+    return _kept.setdefault((module, what), {})
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, which first forgets what other modules keep in this worker, and at its end gives freed memory back to the system."""
+    own = run.__module__
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget(own)
+        yield from run(batches)
+        trim()
+
+    return whole
+
+
+def forget(own: str) -> None:
+    others = [d for (module, _), d in _kept.items() if module != own and d]
+    for d in others:
+        d.clear()
+    if others:
+        gc.collect()
+        trim()
+
+
+def trim() -> None:
+    """Allocators keep freed pages for later; a worker that waits for its next task needs none."""
+    pa.default_memory_pool().release_unused()
+    free = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if free is not None:
+        free(0)
+
+
 def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """mapInArrow in batches of bounded size; lowers the session's bound on them if it is larger."""
     conf = df.sparkSession.conf
     now = conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")
     if not now.isdigit() or int(now) > BATCH_BYTES:
         conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
 
 
 def components(scratch: Scratch, edges: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ._shared import mapped, slices
+from ._shared import kept, mapped, slices
 
 #: Words of up to this many characters are kept with their ids: the last so many
 #: that were used, and up to as many before them. So are pairs of tokens.
@@ -340,7 +340,7 @@ class Decoder:
         return self.utf8.decode(b"", True) if self.as_text else ""
 
 
-_held: dict[str, Bpe] = {}
+_held: dict[str, Bpe] = kept(__name__)
 
 
 def loaded(text: str) -> Bpe:

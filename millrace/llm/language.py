@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import flat, mapped, slices
+from ._shared import flat, kept, mapped, slices
 
 DIMENSIONS = 512
 #: Letters whose vectors a worker keeps; trigrams that are bound at a time.
@@ -32,8 +32,8 @@ LETTERS = 100
 MARGIN = 0.75
 
 
-_held: dict[str, np.ndarray] = {}
-_vectors: dict[int, np.ndarray] = {}
+_held: dict[str, np.ndarray] = kept(__name__)
+_vectors: dict[int, np.ndarray] = kept(__name__, "vectors")
 
 
 def lowered() -> np.ndarray:

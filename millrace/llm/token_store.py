@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._shared import Scratch, flat, mapped, slices
+from ._shared import Scratch, flat, kept, mapped, slices
 
 MAGIC = b"MRT1"
 RANKED = 512
@@ -191,7 +191,7 @@ class PieceEncoder:
         return out, np.diff(to[np.searchsorted(cut, off)])
 
 
-_held: dict[str, PieceEncoder] = {}
+_held: dict[str, PieceEncoder] = kept(__name__)
 
 
 def loaded(spec: str) -> PieceEncoder:

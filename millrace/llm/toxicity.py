@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import Scratch, flat, mapped, slices, word_runs
+from ._shared import Scratch, flat, kept, mapped, slices, word_runs
 from .language import code_points, lowered
 from .minhash import SPACE
 
@@ -102,7 +102,7 @@ def _taken(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pieces.take(pa.array(np.arange(0, len(bounds) - 1, 2)))
 
 
-_held: dict[str, np.ndarray] = {}
+_held: dict[str, np.ndarray] = kept(__name__)
 
 
 def symbols() -> np.ndarray:
