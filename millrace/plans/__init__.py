@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["tpch", "relational", "extensions", "scalars", "streams", "advanced", "layouts"]
+MODULES = ["tpch", "relational", "extensions", "scalars", "streams", "advanced", "layouts", "lines"]
 
 
 def queries() -> dict:
