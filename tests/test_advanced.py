@@ -66,6 +66,14 @@ def test_long_intervals_have_few_copies(spark):
     assert "Generate" in nodes
 
 
+def test_no_side_of_an_overlap_join_is_sent_whole(spark):
+    """Spark's estimate of a small table leaves out its copies on the grids."""
+    spans = spark.createDataFrame([(k, k * 10, k * 10 + 15) for k in range(50)], "id long, s long, e long")
+    got = overlap_join(spans, spans, [], ("s", "e"), ("s", "e"))
+    assert got.count() == 50 + 2 * 49
+    assert "Broadcast" not in plan(got)
+
+
 def test_running_and_ranks(spark):
     rng = random.Random(3)
     rows = [(k, rng.choice(["x", "x", "x", "y", None]), rng.choice([1, 1, 1, 2, 3, None]), rng.choice([0.5, 2.0, None])) for k in range(300)] + [(300, "z", 1, None)]
