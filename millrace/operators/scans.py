@@ -83,6 +83,28 @@ def ranked(df: DataFrame, by: list[str], order: Order, scratch: Scratch | None =
     return out.select(*[F.col(f"`{c}`") for c in df.columns], rank.alias("rank"), F.col("_dense").alias("dense_rank"), percent.alias("percent_rank"), (F.col("_up_to") / F.col("_total")).alias("cume_dist"))
 
 
+def range_counts(points: DataFrame, ranges: DataFrame, by: list[str], point: str, low: str, high: str, scratch: Scratch | None = None) -> DataFrame:
+    """(by, n): how many pairs of a range and a point low <= point < high each key of ranges has; keys without any are left out.
+
+    No pair is formed: a range's number is that of the points before its high end
+    less that of those before its low one, and both come from one running sum over
+    points and ends, so the cost is a sort, however many points a range holds.
+    Points of one value are counted first. Null points and ends pair with nothing;
+    null keys are a group.
+    """
+    scratch = scratch or Scratch(points.sparkSession, "counts")
+    keys = [F.col(c).alias(f"_k{i}") for i, c in enumerate(by)]
+    none = [F.lit(None).cast(ranges.schema[c].dataType).alias(f"_k{i}") for i, c in enumerate(by)]
+    held = points.groupBy(F.col(point).alias("_x")).agg(F.count(F.lit(1)).alias("_n")).filter("_x is not null")
+    # an end comes before the points of its value
+    weighed = held.select(*none, "_x", F.lit(1).alias("_kind"), "_n", F.lit(0).alias("_sign"))
+    both = F.explode(F.array(F.struct(F.col(low).alias("_x"), F.lit(-1).alias("_sign")), F.struct(F.col(high).alias("_x"), F.lit(1).alias("_sign"))))
+    ends = ranges.filter(F.col(low) < F.col(high)).select(*keys, both.alias("_e")).select(*[f"_k{i}" for i in range(len(by))], "_e._x", F.lit(0).alias("_kind"), F.lit(0).cast("long").alias("_n"), "_e._sign")
+    before = running(weighed.unionByName(ends), [], [("_x", True), ("_kind", True)], {"_before": F.col("_n")}, scratch)
+    found = before.filter("_kind = 0").groupBy(*[f"_k{i}" for i in range(len(by))]).agg(F.sum(F.col("_sign") * F.col("_before")).alias("n"))
+    return found.filter("n > 0").select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(by)], "n")
+
+
 def tile(n: int, position: Column, size: Column) -> Column:
     """ntile(n): the first size % n tiles have a row more."""
     small, more = F.floor(size / n), size % n

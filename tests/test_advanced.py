@@ -74,6 +74,39 @@ def test_no_side_of_an_overlap_join_is_sent_whole(spark):
     assert "Broadcast" not in plan(got)
 
 
+@pytest.mark.parametrize("kind", ["double", "long"])
+def test_range_counts_is_a_counted_theta_join(spark, kind):
+    rng = random.Random(11)
+    of = float if kind == "double" else int
+    points = [of(rng.randrange(-20, 60)) for _ in range(300)] + [of(7)] * 50 + [None]
+    ranges = [(rng.choice([1, 2, 3, None]), of(x := rng.randrange(-30, 60)), of(x + rng.randrange(-3, 25))) for _ in range(60)] + [(4, of(900), of(950)), (5, None, of(3)), (6, of(3), None), (7, of(7), of(8)), (7, of(7), of(8))]
+    if kind == "double":
+        points += [float("nan"), float("inf"), -0.0]
+        ranges += [(8, float("-inf"), float("nan")), (9, 0.0, 0.5), (10, -0.5, -0.0), (11, float("nan"), float("nan"))]
+    p = spark.createDataFrame([(k, x) for k, x in enumerate(points)], f"id long, x {kind}").repartition(5)
+    r = spark.createDataFrame(ranges, f"k long, low {kind}, high {kind}").repartition(3)
+    want = p.join(r, (F.col("x") >= F.col("low")) & (F.col("x") < F.col("high"))).groupBy("k").count()
+    got = scans.range_counts(p, r, ["k"], "x", "low", "high")
+    assert got.columns == ["k", "n"] and got.count() == want.count() > 3
+    assert {x.k: x.n for x in got.collect()} == {x.k: x["count"] for x in want.collect()}
+    assert scans.range_counts(p.limit(0), r, ["k"], "x", "low", "high").count() == 0
+
+
+def test_range_counts_forms_no_pairs(spark):
+    """A million pairs of one value: each of 1,000 ranges holds all of 1,000 points, and no row is read more than a few times."""
+    p, r = spark.range(1000).select(F.lit(5.0).alias("x")), spark.range(1000).select("id", F.lit(5.0).alias("low"), F.lit(6.0).alias("high"))
+    got = scans.range_counts(p, r, ["id"], "x", "low", "high")
+    assert got.filter("n = 1000").count() == 1000
+    assert plan(got).count("Join") <= 1 and "NestedLoop" not in plan(got)
+
+
+def test_range_buckets_joins_no_points_with_ranges(spark):
+    from millrace.plans import relational
+
+    out = relational.range_buckets(spark, "/root/testdata/sf0.001")
+    assert "c_acctbal" not in plan(out)  # customers are in a written running sum by then
+
+
 def test_running_and_ranks(spark):
     rng = random.Random(3)
     rows = [(k, rng.choice(["x", "x", "x", "y", None]), rng.choice([1, 1, 1, 2, 3, None]), rng.choice([0.5, 2.0, None])) for k in range(300)] + [(300, "z", 1, None)]
