@@ -11,9 +11,13 @@ from ..sources import table
 from ..streaming import joins, sink, state
 
 
-def _events(spark: SparkSession, d: str) -> DataFrame:
+#: Files of a batch whose watermark must not pass rows of files not read yet: a table's files are in no order of time.
+ALL = 2**31 - 1
+
+
+def _events(spark: SparkSession, d: str, files_per_batch: int = 1) -> DataFrame:
     # a glob, as a stream's path must be a folder or a pattern
-    return streaming.event_stream(spark, f"{d}/events.parque[t]", table(spark, d, "events").schema)
+    return streaming.event_stream(spark, f"{d}/events.parque[t]", table(spark, d, "events").schema, files_per_batch)
 
 
 def gap_totals(spark: SparkSession, d: str) -> DataFrame:
@@ -21,7 +25,7 @@ def gap_totals(spark: SparkSession, d: str) -> DataFrame:
     scratch = Scratch(spark, "stream")
     path, schema = f"{scratch.root}/out", "user_id long, start timestamp, end timestamp, n long, value double, purchases long"
     with state.on_rocksdb(spark):
-        out = state.gap_totals(_events(spark, d))
+        out = state.gap_totals(_events(spark, d, ALL))
         out.writeStream.format("parquet").option("path", path).option("checkpointLocation", f"{scratch.root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     found = spark.read.schema(schema).parquet(path)
     return found.select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "n", F.round("value", 6).alias("value"), "purchases")
@@ -31,7 +35,7 @@ def answered(spark: SparkSession, d: str) -> DataFrame:
     """Purchases with the views before them, and those without one that can get none any more."""
     scratch = Scratch(spark, "stream")
     path = f"{scratch.root}/out"
-    out = joins.answered(_events(spark, d))
+    out = joins.answered(_events(spark, d, ALL))
     out.writeStream.format("parquet").option("path", path).option("checkpointLocation", f"{scratch.root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema("event_id long, user_id long, view_id long").parquet(path)
 

@@ -7,6 +7,7 @@ import time
 from datetime import datetime, timedelta, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace import streaming
 from millrace.streaming import state
@@ -88,6 +89,30 @@ def test_rows_in_any_order_give_the_same_spans(spark, stream):
     assert [r.n for r in got if r.user_id is None] == [1]
 
 
+def test_many_spans_of_many_users_need_few_calls(spark, stream):
+    """A group of users has one piece of state and one timer, however many spans they have open."""
+    query = lambda e: state.gap_totals(e, "10 minutes", "20 minutes", groups=2)
+    big = 2**60 + 1  # not a float's
+    rows = [event(k, 30 * (k % 5), user=big + k // 5) for k in range(60)] + [(60, T0, None, "view", None)]
+    # the watermark is just at the end of each one's fourth span and the gap
+    got = stream(query, rows)
+    assert spans(r for r in got if r.user_id is not None) == [(big + u, 30 * k, 30 * k, 1, 1.0, 0) for u in range(12) for k in range(4)]
+    assert [(r.user_id, r.n, r.value) for r in got if r.user_id is None] == [(None, 1, 0.0)]
+    assert held(spark, stream) == 2
+    assert len(stream(query, [event(61, 1000, user=big)])) == 12 * 5 + 1
+    assert held(spark, stream) == 1
+
+
+def test_a_table_of_several_files_loses_no_row(spark, tmp_path):
+    """Files whose times overlap, the latest rows in the first file."""
+    from millrace.plans import streams
+
+    rows = spark.createDataFrame([event(k, 200 * k, user=k % 2) for k in range(12)], SCHEMA).withColumn("props", F.lit("{}"))
+    for k in (1, 0):
+        rows.filter(f"event_id % 2 = {k}").coalesce(1).write.mode("append").parquet(f"{tmp_path}/events.parquet")
+    assert streams.gap_totals(spark, str(tmp_path)).agg(F.sum("n")).first()[0] == 11
+
+
 def test_a_time_to_live_lets_a_kind_through_again(stream):
     query = lambda e: state.first_seen(e, "3 seconds")
     first = stream(query, [event(0, 0), event(1, 1), event(2, 2, kind="click")], ends=False)
