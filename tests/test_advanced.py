@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import scans
-from millrace.operators.graph import triangles
+from millrace.operators.graph import triangles, triangles_of_kinds
 from millrace.operators.intervals import overlap_join
 from millrace.operators.quantiles import quantiles
 from millrace.operators.recursion import reachable
@@ -182,3 +182,38 @@ def test_a_hub_forms_no_pairs(spark):
     star = spark.range(1, 3001).select(F.lit(0).cast("long").alias("u"), F.col("id").alias("v"))
     out = triangles(star)
     assert out.agg(F.sum("n"), F.count("n")).first()[:] == (0, 3001)
+
+
+@pytest.mark.parametrize("blocks", [1, 5])
+def test_triangles_of_kinds(spark, blocks):
+    rng = random.Random(13)
+    some = lambda n: rng.choice([None, *range(n)] if rng.random() < 0.2 else range(n))
+    rows = [(some(12), some(7), some(15)) for _ in range(150)] + [(0, k % 7, k) for k in range(40)] + [(None, None, None)]
+    edge = lambda i, j: {(r[i], r[j]) for r in rows if r[i] is not None and r[j] is not None}
+    ab, bc, ac = edge(0, 1), edge(1, 2), edge(0, 2)
+    want = Counter(x for a, c in ac for b in range(7) if (a, b) in ab and (b, c) in bc for x in ((0, a), (1, b), (2, c)))
+    df = spark.createDataFrame(rows, "a long, b long, c long")
+    before = spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition")
+    assert {(r.kind, r.id): r.n for r in triangles_of_kinds(df, blocks).collect()} == want
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == before
+    assert triangles_of_kinds(df.limit(0), blocks).count() == 0
+
+
+def test_open_triangles_become_no_rows(spark, monkeypatch):
+    """The plan that counts joins lists in place: ids are exploded after the last exchange before the join."""
+    from millrace.scratch import Scratch
+
+    plans, cut = [], Scratch.cut
+    monkeypatch.setattr(Scratch, "cut", lambda self, df, *a: plans.append(plan(df)) or cut(self, df, *a))
+    triangles_of_kinds(spark.range(50).select((F.col("id") % 5).alias("a"), (F.col("id") % 3).alias("b"), "id").withColumnRenamed("id", "c"), 3)
+    (found,) = plans
+    join = found[found.index("Join") :]
+    assert "ShuffledHashJoin" in found and found.count("Join") == 1
+    assert join.index("Generate explode(as") < join.index("Exchange")
+
+
+def test_trade_triangles_shuffles_no_open_triangles(spark):
+    from millrace.plans import advanced
+
+    out = advanced.trade_triangles(spark, "/root/testdata/sf0.001")
+    assert "Join" not in plan(out)
