@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import random
 import statistics
+import time
 from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import scans
+from millrace.operators import intervals, scans
 from millrace.operators.graph import triangles, triangles_of_kinds
 from millrace.operators.intervals import overlap_join
 from millrace.operators.quantiles import quantiles
@@ -74,6 +75,43 @@ def test_no_side_of_an_overlap_join_is_sent_whole(spark):
     assert "Broadcast" not in plan(got)
 
 
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_overlaps_over_many_blocks(spark, monkeypatch, coalesce):
+    """Blocks of four to sixteen rows, that cut through equal starts, keys and repeated rows, in one partition and in several."""
+    monkeypatch.setattr(intervals, "LEAST", 2)
+    monkeypatch.setattr(intervals, "MOST", 4)
+    rng = random.Random(23)
+    make = lambda n: [(k, rng.choice(["a", "a", "b", "c", None]), (s := rng.choice([50, 400, rng.randrange(1000)])), s + rng.choice([-1, 0, 0, 0, 3, 40, 1000])) for k in range(n)]
+    left, right = make(150), make(90)
+    left += [(500, "d", 7, 9)] * 12 + [(501, "e", 0, None), (502, "e", -5, 5)]
+    frame = lambda rows: spark.createDataFrame(rows, "id long, k string, s long, e long")
+    meet = lambda x, y, keyed: None not in (x[3], y[3]) and x[2] <= x[3] and y[2] <= y[3] and (not keyed or x[1] and x[1] == y[1]) and x[2] <= y[3] and y[2] <= x[3]
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    try:
+        for by in (["k"], []):
+            want = Counter((x[0], y[0]) for x in left for y in right if meet(x, y, by))
+            got = overlap_join(frame(left), frame(right), by, ("s", "e"), ("s", "e"))
+            assert Counter((r.a.id, r.b.id) for r in got.collect()) == want and len(want) > 500
+            want = Counter(tuple(sorted((x[0], y[0]))) for i, x in enumerate(left) for y in left[:i] if meet(x, y, by))
+            found = intervals.overlaps(frame(left), by, ("s", "e")).collect()
+            assert Counter(tuple(sorted((r.a.id, r.b.id))) for r in found) == want and len(want) > 500
+            assert all(r.a.s <= r.b.s for r in found)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
+def test_overlaps_shuffle_few_copies(spark):
+    """Lengths of sixteen magnitudes: a short row isn't sent once for each of them."""
+    length = F.when(F.col("id") % 50 == 0, F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("id") / 50 % 16 + 20).cast("int"))).otherwise(0)
+    spans = spark.range(20_000).select("id", (F.col("id") * 10**7).alias("s"), (F.col("id") * 10**7 + length).alias("e"))
+    written = lambda: spark.sparkContext._jsc.sc().statusStore().executorList(True).apply(0).totalShuffleWrite()
+    before = written()
+    assert overlap_join(spans, spans, [], ("s", "e"), ("s", "e")).selectExpr("count(a.id) n", "count(distinct b.id) d").first().d == 20_000
+    time.sleep(1)  # the store lags behind
+    assert 0 < written() - before < 2 * 20_000 * 120
+
+
 @pytest.mark.parametrize("kind", ["double", "long"])
 def test_range_counts_is_a_counted_theta_join(spark, kind):
     rng = random.Random(11)
